@@ -14,7 +14,7 @@ import re
 from ._shared import process_cache
 
 #: Same alternatives as in the tokenizer file, for chunks of plain characters.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^\sa-zà-öø-ÿ0-9]+")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
 
 
