@@ -108,3 +108,9 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     if not len(hashes):
         return np.zeros(0, np.uint64)
     return np.unique(hash_rows(hashes, min(n, len(hashes))))
+
+
+def share_of(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """All rows where there are at most ``rows``; else those whose id hash falls in a share that holds about ``rows``."""
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * rows / n))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dup, packing, token_counts
+from . import line_dedup, lm_scoring, near_dup, packing, quality, token_counts, toxicity
+from ._shared import fold
 
 #: White space of the contracts in DuckDB.
 _SPACES = "' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -32,6 +33,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,13 +60,20 @@ FROM keyed LEFT JOIN frequent USING (key) GROUP BY doc_id
 """
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, machine).select("row.doc_id", "score")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_dup.NearDuplicates(_table(spark, sf_dir, "documents"), percent=85).classes()
     return classes.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op6_line_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op3_lm_scoring, op4_toxicity, op6_line_dedup, op8_quality_classifier, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
