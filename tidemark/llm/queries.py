@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_scoring, near_dup, packing, quality, token_counts, toxicity
+from . import ann, decontaminate, html_extract, line_dedup, lm_scoring, near_dup, packing, quality, token_counts, toxicity
 from ._shared import fold
 
 #: White space of the contracts in DuckDB.
@@ -43,6 +43,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -60,6 +64,10 @@ FROM keyed LEFT JOIN frequent USING (key) GROUP BY doc_id
 """
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -67,13 +75,31 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", (F.size("hits") > 0).alias("contaminated"), F.col("hits.item_id").alias("item_ids"), F.col("hits.edits").alias("edits"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_dup.NearDuplicates(_table(spark, sf_dir, "documents"), percent=85).classes()
     return classes.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op3_lm_scoring, op4_toxicity, op6_line_dedup, op8_quality_classifier, op10_minhash_near_dedup)}
+    found = (
+        op1_best_fit_packing,
+        op2_token_counts,
+        op3_lm_scoring,
+        op4_toxicity,
+        op5_html_extraction,
+        op6_line_dedup,
+        op7_nearest_neighbours,
+        op8_quality_classifier,
+        op9_benchmark_decontamination,
+        op10_minhash_near_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
