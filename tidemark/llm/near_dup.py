@@ -9,8 +9,9 @@
 3. Candidates are confirmed on whole shingle sets, and confirmed links give components.
 4. A star alone can miss a link between two members that are both far from the centre.
    Buckets that still hold several components are therefore searched completely, in
-   blocks of bounded size, by signature; pairs that may reach the threshold are
-   confirmed as in 3.  Pairs within one component need no look: they are linked already.
+   blocks of bounded size: signatures rule pairs out, whole sets confirm the rest inside
+   the task, and only links leave it.  Pairs within one component need no look: they are
+   linked already.
 
 With 32 bands of 4, two sets of similarity 0.85 share no bucket with probability 6e-11.
 """
@@ -28,7 +29,7 @@ from ._shared import WordHasher, materialise, mix64, shingles, text_of, words_of
 from .graph import components
 
 BINS, ROWS = 128, 4
-BLOCK = 1024
+BLOCK, BLOCK_SHINGLES = 512, 500_000
 BROADCAST_BYTES = 16 << 20
 SKETCH_SCHEMA = "uid long, doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, signature binary"
 EDGES = (np.arange(BINS + 1, dtype=np.float64) / BINS * 2.0**64)[:BINS].astype(np.uint64)
@@ -100,29 +101,35 @@ def _confirm(numerator: int):
 
 
 def _residual(numerator: int):
-    """Pairs of a block that may be linked: different components, sizes near enough, signatures near enough, and met first in this band."""
+    """The links of a block: pairs of different components, met first in this band, that their sizes and signatures allow and their sets confirm."""
 
     def run(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
         sid, comp, n = (table[c].to_numpy() for c in ("sid", "comp", "n"))
         sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, BINS)
         bands = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(sid), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
         here, t = int(table["band"][0].as_py()), numerator / 100
         least = t - 4.5 * np.sqrt(t * (1 - t) / np.minimum(n, BINS))
         whole = np.flatnonzero(side == 0)
-        other = np.flatnonzero(side == 1) if (side == 1).any() else whole
-        same_side = other is whole
+        other = np.flatnonzero(side == 1)
+        one_block = not len(other)
         a, b = [], []
         for k, i in enumerate(whole.tolist()):
-            rest = other[k + 1 :] if same_side else other
+            rest = whole[k + 1 :] if one_block else other
             rest = rest[(comp[rest] != comp[i]) & (np.minimum(n[rest], n[i]) * 100 >= numerator * np.maximum(n[rest], n[i]))]
             if len(rest):
                 near = (sig[rest] == sig[i]).sum(axis=1) / BINS
                 rest = rest[near >= np.where(np.minimum(n[rest], n[i]) < 64, 0.0, np.minimum(least[rest], least[i]))]
                 rest = rest[(bands[rest] == bands[i]).argmax(axis=1) == here]
+            if len(rest):
+                values = np.concatenate([sets[j] for j in rest])
+                at = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+                common = np.add.reduceat((sets[i][at] == values).astype(np.int64), np.cumsum(n[rest]) - n[rest])
+                rest = rest[100 * common >= numerator * (n[rest] + n[i] - common)]
                 a += [sid[i]] * len(rest)
                 b += sid[rest].tolist()
-        return pa.table({"a": pa.array(np.minimum(a, b) if a else [], pa.int64()), "b": pa.array(np.maximum(a, b) if a else [], pa.int64())})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -171,18 +178,19 @@ class NearDuplicates:
 
         roots = components(links)
         labelled = buckets.where("members > 2").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("root", "sid"))
-        labelled = materialise(labelled.select("key", "band", "sid", "members", "comp"), "labelled")
-        mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        open_rows = labelled.join(materialise(mixed, "mixed"), "key", "left_semi")
-        short = sets.select("sid", "n", "signature", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("keys"))
-        rows = open_rows.join(short, "sid").withColumn("parts", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+        labelled = materialise(labelled.join(sets.select("sid", "n"), "sid").select("key", "band", "sid", "n", "comp"), "labelled")
+        mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+        mixed = materialise(mixed.where("lo <> hi").select("key", "parts"), "mixed")
+        open_rows = materialise(labelled.join(mixed, "key"), "open")
+        short = sets.select("sid", "signature", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("keys"))
+        sets_of = self._sets_of(open_rows.select("sid"))
+        rows = open_rows.join(short.join(sets_of, "sid"), "sid").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")
-        rows = rows.select("key", "band", "sid", "comp", "n", "signature", "keys", "part", other).select(
-            "key", "band", "sid", "comp", "n", "signature", "keys", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), (F.col("part") > F.col("o")).cast("int").alias("side")
+        rows = rows.select("key", "band", "sid", "comp", "n", "signature", "keys", "grams", "part", other).select(
+            "key", "band", "sid", "comp", "n", "signature", "keys", "grams", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), (F.col("part") > F.col("o")).cast("int").alias("side")
         )
         rest = rows.groupBy("key", "i", "j").applyInArrow(_residual(self.percent), "a long, b long")
-        rest = materialise(rest.distinct(), "residual")
-        more = self._confirmed(rest)
+        more = materialise(rest.distinct(), "residual")
 
         roots = components(links.union(more)) if not more.isEmpty() else roots
         labels = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("h1", "h2", "first", F.coalesce("root", "sid").alias("root"))
