@@ -508,9 +508,9 @@ def noop_ratio(spark, sf):
     return reconcile.noop_ratio(staged_events(spark, sf), ["_batch_id", "_load_mode"])
 
 
-@query(f"WITH {versions_sql('coalesce(modified_ts, _ingest_ts)')} SELECT tenant_id, CASE WHEN valid_from = valid_to THEN 'empty' ELSE 'inverted' END AS kind, count(*) AS n FROM versions WHERE valid_from >= valid_to GROUP BY ALL")
+@query(f"WITH {VERSIONS_SQL} SELECT tenant_id, CASE WHEN valid_from = valid_to THEN 'empty' ELSE 'inverted' END AS kind, count(*) AS n FROM versions WHERE valid_from >= valid_to GROUP BY ALL")
 def interval_check(spark, sf):
-    return reconcile.bad_intervals(_versions(spark, sf, "modified_ts")).groupBy("tenant_id", "kind").agg(F.count("*").alias("n"))
+    return reconcile.bad_intervals(_versions(spark, sf)).groupBy("tenant_id", "kind").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {DELETED_SQL} SELECT s._batch_id, count(*) AS rows_in, count(DISTINCT s._source_file) AS files, coalesce(any_value(d.n), 0) AS deletions FROM staged s LEFT JOIN (SELECT _batch_id, count(*) AS n FROM tomb GROUP BY ALL) d USING (_batch_id) GROUP BY s._batch_id")
