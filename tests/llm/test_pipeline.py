@@ -22,7 +22,7 @@ def sf_dir(spark, tmp_path):
     item = " ".join(rng.choices(vocab, k=20))
     for i in range(240):
         text = [" ".join(rng.choices(vocab, k=12)) for _ in range(4)]
-        poor = i % 5 == 0
+        poor = i % 5 == 0 and i % 11 != 3  # a near copy is as good as its original
         if i % 3 == 0:
             text.insert(1, "Shared  Line")
         if i % 17 == 0:
@@ -55,7 +55,8 @@ def test_stages(spark, sf_dir, tmp_path):
     machine = quality.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scores = {r.row.doc_id: r.score for r in quality.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), machine).collect()}
     assert {r.doc_id for r in new} == {i for i, s in scores.items() if s >= 0.3}
-    assert sum(r.doc_id % 5 == 0 for r in new) < 5 and len(new) > 180
+    poor = {i for i in range(240) if i % 5 == 0 and i % 11 != 3}
+    assert len(poor & {r.doc_id for r in new}) < 5 and len(new) > 180
 
     old, new = seen["line_dedup"]
     n = Counter(k for r in old for k in {x.strip().lower() for x in (r.text or "").split("\n")} if k)
