@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ._shared import WordHasher, fold, hash_rows, materialise, text_of, words_of
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 STRENGTHS = (0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1000.0)
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 ASK_SCHEMA = "level int, part int, block long, n int, keys binary, counts binary"

@@ -32,6 +32,8 @@ WORD = re.compile(r"[^\W\d_]+")
 LEXICON, CALIBRATION_ROWS = 5_000, 20_000
 PRIOR, LEAST_WEIGHT, LEAST_DOCS = 500.0, 1.5, 4
 SIGNIFICANT = 0.05
+#: Labels up to this size are broadcast; beyond it they are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 def tokens_of(word: str) -> tuple[str, ...]:
@@ -171,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from the labelled rows outside the held fold.  Without both labels, every score is the prior."""
     train = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").alias("text")).where(fold(folds, "id") != held_fold)
     given = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("toxic IS NOT NULL")
-    train = materialise(train.join(given, "id"), "toxic-train")
+    small = given.count() * 32 <= BROADCAST_BYTES
+    train = materialise(train.join(F.broadcast(given) if small else given, "id"), "toxic-train")
     counts = materialise(train.mapInArrow(_count, "token string, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-counts")
     lexicon = fit_weights(counts)
     sample = share_of(train, "id", CALIBRATION_ROWS).select("text", "toxic")
