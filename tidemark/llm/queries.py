@@ -86,6 +86,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+OP10_SQL = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS grams FROM split),
+rows AS (SELECT doc_id, unnest(grams) AS gram FROM sets),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM rows a JOIN rows b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sets s ON s.doc_id = x JOIN sets t ON t.doc_id = y
+  WHERE 100 * common >= 85 * (len(s.grams) + len(t.grams) - common)),
+near AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT near.x, reach.other FROM reach JOIN near ON near.y = reach.doc_id),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(grams) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
+
+
 def queries() -> dict:
     found = (
         op1_best_fit_packing,
@@ -103,4 +121,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": OP6_SQL}
+    return {"op6_line_dedup": OP6_SQL, "op10_minhash_near_dedup": OP10_SQL}
