@@ -158,7 +158,7 @@ def held(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
 
 
-def plain_lm(docs, mu):
+def plain_lm(docs, strengths):
     uni, bi, ctx = Counter(), Counter(), Counter()
     for i, t in docs:
         seq = ["<s>", *words(t), "</s>"]
@@ -170,6 +170,7 @@ def plain_lm(docs, mu):
 
     def p(h, w):
         low = (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+        mu = strengths[sum(ctx[h] >= c for c in lm_scoring.CLASSES) - 1]
         return (bi[h, w] + mu * low) / (ctx[h] + mu) if ctx[h] else low
 
     for h in [*list(ctx)[:5], "never seen"]:
@@ -190,7 +191,7 @@ def test_lm_scores(spark, tmp_path, monkeypatch, block):
     docs = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 30)))) for i in range(60)] + [(5, "One oNe"), (None, None), (61, "Zz yy Zz"), (61, "Zz yy Zz")]
     df = written(spark.createDataFrame(docs, "doc_id long, text string").withColumn("block", F.lit("x")), tmp_path)
     got = lm_scoring.score(df).collect()
-    want = plain_lm([(r.doc_id, r.text) for r in df.collect()], got[0].strength)
+    want = plain_lm([(r.doc_id, r.text) for r in df.collect()], got[0].strengths)
     key = lambda r: (str(r[0]), *(round(x, 6) for x in r[2:]))
     assert [key(tuple(r)[:7]) for r in sorted(got, key=lambda r: key(tuple(r)[:7]))] == sorted(key(w) for w in want)
     assert lm_scoring.score(written(df.limit(0), tmp_path, "none")).count() == 0

@@ -6,7 +6,8 @@ smoothing of strength ``mu`` the arc of (h, w) has weight
 ``log10((c(hw) + mu * p(w | shorter h)) / (c(h) + mu))`` and the failure arc of h has
 ``log10(mu / (c(h) + mu))``; the empty context is the add-half unigram model over all
 training tokens and one unknown token, so the weights of every state add up to one.
-``mu`` is chosen from ``STRENGTHS`` by the leave-one-out likelihood of all training tokens.
+``mu`` depends on how often the state was seen: for each of ``CLASSES`` of counts it is
+chosen from ``STRENGTHS`` by the leave-one-out likelihood of all training tokens.
 
 The automaton is never held in one place.  Texts are read in blocks of bounded size
 (a rule of the row order of each input split).  Each block sends its distinct n-grams
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from ._shared import WordHasher, fold, hash_rows, materialise, text_of, words_of
 
 BLOCK_BYTES = 8 << 20
-STRENGTHS = (0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1000.0)
+STRENGTHS = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0)
+#: Lower ends of the classes of context counts.
+CLASSES = (1, 4, 8, 16, 64, 256, 1024, 16384)
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 ASK_SCHEMA = "level int, part int, block long, n int, keys binary, counts binary"
 REPLY_SCHEMA = "block long, level int, part int, n int, totals binary, types long, tokens long"
@@ -172,6 +175,14 @@ def probabilities(totals: list[np.ndarray], ones: np.ndarray, tokens: int, types
     return p
 
 
+def count_class(totals: list[np.ndarray]) -> np.ndarray:
+    """The class of the longest context seen in training at each place; of unseen contexts the first, where mu has no effect."""
+    longest = np.zeros(len(totals[0][0]), np.int64)
+    for _, context in totals[1:]:
+        longest = np.where(context > 0, context, longest)
+    return np.maximum(np.searchsorted(CLASSES, longest, "right") - 1, 0)
+
+
 def _score(order: int, tokens: int, types: int):
     def run(texts: pa.Table, replies: pa.Table) -> pa.Table:
         texts = texts.sort_by("place")
@@ -196,9 +207,12 @@ def _score(order: int, tokens: int, types: int):
             totals.append((at_place[k][here], at_place[k - 1][here - 1]))
         doc = np.repeat(np.arange(len(rows)), block.lengths - 1)
         add = lambda x: np.bincount(doc, x, len(rows))
+        cell = doc * len(CLASSES) + count_class(totals)
+        by_class = lambda x: np.bincount(cell, x, len(rows) * len(CLASSES)).reshape(len(rows), -1)
         unigram = totals[0][0]
-        scores = [add(np.log10(probabilities(totals, np.zeros_like(ones), tokens, types, mu))) for mu in STRENGTHS]
-        held = [add(np.where(ones > 0, np.log10(np.maximum(probabilities(totals, ones, tokens, types, mu), 1e-300)), 0.0)) for mu in STRENGTHS]
+        scores = [by_class(np.log10(probabilities(totals, np.zeros_like(ones), tokens, types, mu))) for mu in STRENGTHS]
+        left = [by_class(np.where(ones > 0, np.log10(np.maximum(probabilities(totals, ones, tokens, types, mu), 1e-300)), 0.0)).sum(axis=0) for mu in STRENGTHS]
+        first = [np.array(left).T.ravel().tolist()] + [None] * (len(rows) - 1)
         base = add(np.log10((unigram + 0.5) / (tokens + 0.5 * (types + 1))))
         return pa.table(
             {
@@ -207,8 +221,8 @@ def _score(order: int, tokens: int, types: int):
                 "n_tokens": pa.array(block.lengths - 1, pa.int64()),
                 "n_known": pa.array(add(unigram > 0).astype(np.int64), pa.int64()),
                 "base_score": pa.array(base, pa.float64()),
-                "scores": pa.array(np.array(scores).T.tolist(), pa.list_(pa.float64())),
-                "left_out": pa.array(np.array(held).T.tolist(), pa.list_(pa.float64())),
+                "scores": pa.array(np.stack(scores, axis=2).reshape(len(rows), -1).tolist(), pa.list_(pa.float64())),
+                "left_out": pa.array(first, pa.list_(pa.float64())),
             }
         )
 
@@ -216,7 +230,7 @@ def _score(order: int, tokens: int, types: int):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2, folds: int = 5, held_fold: int = 1) -> DataFrame:
-    """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, strength``.
+    """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, strengths`` (mu per class).
 
     Rows whose crc32(id as text) modulo ``folds`` is ``held_fold`` are held out of
     training.  Null or empty text is the end token alone; a null id hashes as the empty
@@ -232,6 +246,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     tagged = rows.mapInArrow(_tag, "block long, place long, doc_id long, held_out boolean, text binary")
     scored = tagged.groupBy("block").cogroup(replies.select("block", "level", "part", "totals", "n").groupBy("block")).applyInArrow(_score(order, tokens, types), SCORE_SCHEMA)
     scored = materialise(scored, "scored")
-    sums = scored.agg(*[F.sum(F.get("left_out", F.lit(i))).alias(f"s{i}") for i in range(len(STRENGTHS))]).first()
-    best = max(range(len(STRENGTHS)), key=lambda i: sums[i] or 0.0) if sums[0] is not None else 0
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", F.get("scores", F.lit(best)).alias("score"), F.lit(STRENGTHS[best]).alias("strength"))
+    n = len(STRENGTHS)
+    sums = scored.where("left_out IS NOT NULL").agg(*[F.sum(F.get("left_out", F.lit(i))).alias(f"s{i}") for i in range(n * len(CLASSES))]).first()
+    best = [max(range(n), key=lambda i: (sums[k * n + i] or 0.0, i)) for k in range(len(CLASSES))]
+    total = sum((F.get("scores", F.lit(k * n + i)) for k, i in enumerate(best)), F.lit(0.0))
+    strengths = F.array(*[F.lit(STRENGTHS[i]) for i in best])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", total.alias("score"), strengths.alias("strengths"))
