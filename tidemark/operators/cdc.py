@@ -20,8 +20,8 @@ def change_feed(extracts: DataFrame, keys: Sequence[str], attributes: Sequence[s
     a feed must be idempotent.  The full extracts' numbers travel as one small array.
     """
     rows = extracts.select(*keys, *attributes, F.col(seq).alias("seq"), F.lit(UPSERT).alias("op"))
-    fulls = extracts.where(F.col(mode) == "full").agg(F.array_sort(F.collect_set(seq)).alias("_full"))
-    seen = extracts.groupBy(*keys).agg(F.collect_set(seq).alias("_seen"), F.min(seq).alias("_first")).crossJoin(F.broadcast(fulls))
+    fulls = extracts.where(F.col(mode) == "full").agg(F.array_sort(F.collect_set(seq)).alias("_full")).withColumn("_one", F.lit(1))
+    seen = extracts.groupBy(*keys).agg(F.collect_set(seq).alias("_seen"), F.min(seq).alias("_first")).withColumn("_one", F.lit(1)).join(F.broadcast(fulls), "_one")
     missed = seen.select(*keys, F.explode(F.filter(F.array_except("_full", "_seen"), lambda s: s > F.col("_first"))).alias("seq"))
     nulls = [F.lit(None).cast(extracts.schema[a].dataType).alias(a) for a in attributes]
     return rows.unionByName(missed.select(*keys, *nulls, "seq", F.lit(DELETE).alias("op")))

@@ -19,7 +19,9 @@ def differences(a: DataFrame, b: DataFrame, without: Sequence[str] = (), keep_re
     """One row: rows only in a, rows only in b.  ``keep_repeats`` counts repeated rows, else sets are compared."""
     a, b = comparable(a, without), comparable(b, without)
     minus = (lambda x, y: x.exceptAll(y)) if keep_repeats else (lambda x, y: x.subtract(y))
-    return minus(a, b.select(*a.columns)).agg(F.count("*").alias("only_a")).crossJoin(minus(b.select(*a.columns), a).agg(F.count("*").alias("only_b")))
+    b = b.select(*a.columns)
+    sides = minus(a, b).select(F.lit("a").alias("side")).union(minus(b, a).select(F.lit("b")))
+    return sides.agg(F.count_if(F.col("side") == "a").alias("only_a"), F.count_if(F.col("side") == "b").alias("only_b"))
 
 
 def count_difference(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
