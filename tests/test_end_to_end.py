@@ -95,3 +95,58 @@ def test_listing_and_checksums(spark, tmp_path):
     listed = landing.list_with_spark(spark, str(tmp_path), "*.csv")
     assert listed.count() == 1 and landing.with_checksum(spark, [f.path]).first().checksum
     assert [e.path for e in landing.list_folder(str(tmp_path))] == [os.path.join(f.path)]
+
+
+def test_catalog_releases(spark):
+    from tidemark.functions.mapping import MappingRow, build_select, load_release, mapping_rows
+    from tidemark.plans import metadata
+
+    day = [datetime(2026, 1, d) for d in range(1, 5)]
+    first = [MappingRow("T", "A", "a", is_business_key=True), MappingRow("T", "B", "b")]
+    later = [first[0], MappingRow("T", "B", "bb"), MappingRow("T", "C", "c")]
+    catalog = metadata.next_release(metadata.catalog_rows(spark, first, day[0]), later, day[2])
+    releases = metadata.release_rows(spark, [(1, day[1], "one"), (2, day[3], "two")])
+    assert [r.mapping_ver for r in releases.where("is_current").collect()] == [2]
+    plans = [build_select(mapping_rows(load_release(catalog, releases, v)), ["a"]).columns for v in (1, 2)]
+    assert plans == [("a", "b", "entity_key"), ("a", "bb", "c", "entity_key")]
+    assert catalog.count() == 4
+
+
+def test_layers(spark):
+    from tidemark.naming import Layout
+    from tidemark.plans import metadata
+
+    layout = Layout("spark_catalog", "t1")
+    metadata.create_layers(spark, layout)
+    metadata.create_layers(spark, layout)
+    assert spark.table("meta_t1.column_catalog").count() == 0
+    metadata.drop_layers(spark, layout)
+    with pytest.raises(ValueError):
+        metadata.drop_layers(spark, Layout("spark_catalog"))
+
+
+def test_command_line_run(spark, tmp_path):
+    import csv
+
+    import yaml
+
+    from tidemark.__main__ import run
+    from tidemark.config import MAPPING_HEADER
+    from tidemark.naming import Stream
+
+    entity = {
+        "source_system": "erp", "entity": "thing", "landing": {"volume": "v", "path": "p", "layout": "<tenant>/<load_mode>", "format": "csv"},
+        "grain": {"business_key": ["object_id"], "tenant_column": "tenant_id"}, "historisation": "scd2", "sequencing": {"source": "file_mtime"},
+        "schema_evolution": {"new_column": "accept", "missing_business_key": "fail"}, "quality": {"required": ["level"], "on_violation": "quarantine"},
+    }
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/erp__thing.yml").write_text(yaml.safe_dump(entity))
+    with (tmp_path / "c/erp__thing.csv").open("w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(MAPPING_HEADER)
+        out.writerows((r.tenant, r.source_column, r.generic_column or "", r.target_type, r.parse_format or "", r.precedence, str(r.is_business_key).lower(), str(r.is_promoted).lower()) for r in generator.mapping())
+    generator.write_deliveries(str(tmp_path / "in"))
+    args = (spark, Stream("erp", "thing"), str(tmp_path / "c"), str(tmp_path / "in"), str(tmp_path / "s"))
+    one = run(*args)
+    two = run(*args)
+    assert one["files"] == 9 and two == {**one, "files": 0} and one["silver"] >= 180

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import GONE
-from .functions import hashing, mapping, quality
+from .functions import cleaning, hashing, mapping, quality
 from .operators import cdc, gold, incremental, policies, reconcile, registry, scd2, sequencing, upsert
 from .plans import silver, storage
 from .sources import landing
@@ -401,6 +401,18 @@ def cast_quality(spark, sf):
     return rows.withColumn("rate", F.round(F.col("failures") / F.nullif(F.col("populated"), F.lit(0)), 6))
 
 
+@query(
+    """SELECT c_custkey, try_cast(replace(replace(CASE WHEN c_custkey % 5 = 0 THEN 'x' ELSE replace(printf('%.2f', c_acctbal), '.', ',') END, '.', ''), ',', '.') AS DECIMAL(18, 4))::DOUBLE AS balance,
+    CASE WHEN c_custkey % 3 = 0 THEN true WHEN c_custkey % 3 = 1 THEN false END AS flag FROM customer"""
+)
+def cleaned_values(spark, sf):
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    text = F.when(k % 5 == 0, "x").otherwise(F.replace(F.format_string("%.2f", "c_acctbal"), F.lit("."), F.lit(",")))
+    flag = F.when(k % 3 == 0, "t").when(k % 3 == 1, "No").otherwise(F.lit(None))
+    return c.select("c_custkey", cleaning.locale_number(text).cast("double").alias("balance"), cleaning.yes_or_no(F.when(flag == "No", "n").otherwise(flag)).alias("flag"))
+
+
 # ---- gold ---------------------------------------------------------------------------
 
 
