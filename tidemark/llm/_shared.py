@@ -36,6 +36,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_id(df: DataFrame):
+    """A number for each row of a stable source, the same in every read of this session.
+
+    It is the row's place in its input split.  How files are split may depend on the
+    number of cores in the cluster at the time, which an executor's loss changes, so the
+    first call pins that number for the session (where it is not set already).
+    """
+    pin_splits(df.sparkSession)
+    return F.monotonically_increasing_id()
+
+
+def pin_splits(spark: SparkSession) -> None:
+    key = "spark.sql.leafNodeDefaultParallelism"
+    if spark.conf.get(key, None) is None and spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks."""
     return sys.__dict__.setdefault("_tidemark_caches", {}).setdefault(name, {})
@@ -43,7 +60,7 @@ def process_cache(name: str) -> dict:
 
 def text_of(name: str = "text"):
     """The text column with null read as empty."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{name.strip('`')}`").cast("string"), F.lit(""))
 
 
 def fold(mod: int, id_col: str = "doc_id"):

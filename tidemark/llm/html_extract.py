@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialise, text_of
+from ._shared import materialise, row_id, text_of
 
 # Element names of HTML and words of class and id names.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes")
@@ -193,7 +193,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Null or empty html gives the empty text.  Pages without a host share the host ''.
     Repeated rows are pages of their own.  ``pages`` must be a stable source.
     """
-    rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(F.col(f"`{url_col}`")).alias("host"), text_of(f"`{html_col}`").alias("html"))
+    rows = pages.select(row_id(pages).alias("uid"), F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(F.col(f"`{url_col}`")).alias("host"), text_of(f"`{html_col}`").alias("html"))
     found = materialise(templates(rows.select("uid", "host", "html")), "templates")
     small = (found.agg(F.sum(F.size("template"))).first()[0] or 0) * 8 <= 16 << 20 and found.count() * 64 <= 16 << 20
     joined = rows.join(F.broadcast(found) if small else found, "host", "left")

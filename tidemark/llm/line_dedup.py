@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import SPACES, ascii_lower, materialise, text_of
+from ._shared import SPACES, ascii_lower, materialise, row_id, text_of
 
 BROADCAST_BYTES = 16 << 20
 
@@ -36,7 +36,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10) ->
     ``docs`` must be a stable source (files or a written table), for rows are numbered
     by their place in it.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.split(text_of(text_col), "\n", -1).alias("lines"))
+    rows = docs.select(row_id(docs).alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.split(text_of(text_col), "\n", -1).alias("lines"))
     keys = materialise(rows.select("rid", F.explode(F.array_distinct(F.transform("lines", _hashes))).alias("key")).where("key IS NOT NULL"), "line-keys")
     frequent = materialise(keys.groupBy("key").count().where(F.col("count") >= min_docs).select("key"), "frequent-lines")
     small = frequent.count() * 32 <= BROADCAST_BYTES

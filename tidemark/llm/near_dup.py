@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import WordHasher, materialise, mix64, shingles, text_of, words_of
+from ._shared import WordHasher, materialise, mix64, row_id, shingles, text_of, words_of
 from .graph import components
 
 BINS, ROWS = 128, 4
@@ -139,7 +139,7 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80):
         self.percent = percent
-        self.rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+        self.rows = docs.select(row_id(docs).alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def _sets_of(self, ids: DataFrame) -> DataFrame:
         """Shingle sets of the representatives in ``ids(sid)``, from their texts."""
