@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_dedup, near_dup, packing, quality
-from tidemark.llm._shared import materialise
+from tidemark.llm._shared import materialise, row_id
 from tidemark.llm.queries import tokenizer_path
 
 #: SQL can't express the stages; tests hold them against plain versions.
@@ -40,7 +40,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class of near duplicates (five-word shingles, similarity 0.8 or more)."""
     work = near_dup.NearDuplicates(docs, percent=80)
     gone = work.classes().where("NOT keep_row").select("uid")
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select(row_id(docs).alias("uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     gone = materialise(gone, "duplicates")
     small = gone.count() * 16 <= near_dup.BROADCAST_BYTES
     return _columns(rows.join(F.broadcast(gone) if small else gone, "uid", "left_anti"), docs)
