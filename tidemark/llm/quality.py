@@ -132,10 +132,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     given = share_of(given, "id", SAMPLE_ROWS)
     wanted = materialise(given, "quality-labels")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").cast("binary").alias("text")).join(F.broadcast(wanted), "id").select("label", "text")
-    got = rows.mapInArrow(_vectors, "label int, buckets array<int>, weights array<float>, stats array<double>").toPandas()
-    order = np.lexsort([got["label"].to_numpy(), [float(s[0]) for s in got["stats"]], [float(np.sum(b)) for b in got["buckets"]]]) if len(got) else []
-    got = got.iloc[order] if len(got) else got
-    return train([(np.array(b, np.int64), np.array(w, float), np.array(s, float)) for b, w, s in zip(got["buckets"], got["weights"], got["stats"], strict=True)], got["label"].to_numpy(float))
+    got = rows.mapInArrow(_vectors, "label int, buckets array<int>, weights array<float>, stats array<double>").toArrow().combine_chunks()
+    if not len(got):
+        return train([], np.zeros(0))
+    columns = [_lists(got[c]) for c in ("buckets", "weights", "stats")]
+    examples = list(zip(*columns, strict=True))
+    labels_ = got["label"].to_numpy().astype(float)
+    order = np.lexsort([labels_, [float(x[2][0]) for x in examples], [float(x[0].sum()) for x in examples]])  # the same order in every run
+    return train([examples[i] for i in order], labels_[order])
+
+
+def _lists(column) -> list[np.ndarray]:
+    """The arrays of a list column, as views."""
+    parts = []
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        values, cuts = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        parts += [values[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    return parts
 
 
 def _apply(machine: Machine):
