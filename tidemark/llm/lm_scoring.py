@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import WordHasher, fold, hash_rows, materialise, text_of, words_of
+from ._shared import WordHasher, fold, hash_rows, materialise, pin_splits, text_of, words_of
 
-BLOCK_BYTES = 8 << 20
+#: Text of a block, and text per owner of a hash range: both bound the memory of a task.
+BLOCK_BYTES, PART_BYTES = 4 << 20, 8 << 20
 STRENGTHS = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0)
 #: Lower ends of the classes of context counts.
 CLASSES = (1, 4, 8, 16, 64, 256, 1024, 16384)
@@ -76,7 +77,7 @@ class Block:
     """The n-grams of a block of texts: per level the key at each place, and the distinct keys."""
 
     def __init__(self, rows: list, order: int):
-        hasher = WordHasher()
+        hasher = WordHasher(200_000)
         parts, lengths = [], []
         for _, _, text in rows:
             h = hasher(words_of(text))
@@ -85,15 +86,15 @@ class Block:
         self.lengths = np.array(lengths, np.int64)
         seq = np.concatenate(parts)
         begin = np.cumsum(self.lengths) - self.lengths
-        self.place = np.arange(len(seq)) - np.repeat(begin, self.lengths)  # 0 at START
+        self.place = (np.arange(len(seq)) - np.repeat(begin, self.lengths)).astype(np.int32)  # 0 at START
         self.train = np.repeat(np.array([not r[1] for r in rows]), self.lengths)
         self.keys, self.inverse, self.at = [], [], []
         for level in range(1, order + 1):
             grams = hash_rows(seq, level) if len(seq) >= level else np.zeros(0, np.uint64)
-            at = np.flatnonzero(self.place >= level - 1)  # last token of each n-gram that lies in one document
+            at = np.flatnonzero(self.place >= level - 1).astype(np.int32)  # last token of each n-gram that lies in one document
             keys, inverse = np.unique(grams[at - (level - 1)], return_inverse=True)
             self.keys.append(keys)
-            self.inverse.append(inverse)
+            self.inverse.append(inverse.astype(np.int32))
             self.at.append(at)
 
     def counts(self, level: int) -> np.ndarray:
@@ -236,9 +237,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     training.  Null or empty text is the end token alone; a null id hashes as the empty
     text.  Repeated rows train and are scored each.  ``docs`` must be a stable source.
     """
+    pin_splits(docs.sparkSession)  # both reads must see the same blocks
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), (fold(folds, f"`{id_col}`") == held_fold).alias("held_out"), text_of(f"`{text_col}`").cast("binary").alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(8, -(-size // BLOCK_BYTES))
+    parts = max(8, -(-size // PART_BYTES))
     asked = rows.mapInArrow(_ask(order, parts), ASK_SCHEMA)
     replies = materialise(asked.groupBy("level", "part").applyInArrow(_answer, REPLY_SCHEMA), "arcs")
     stats = replies.agg(F.sum("types"), F.sum("tokens")).first()
