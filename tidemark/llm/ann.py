@@ -5,7 +5,9 @@ with a priority queue of nodes by distance to their centres and visits leaves in
 order; the number of visits is the least that reaches the target recall on calibration
 queries, whose true neighbours come from brute force over all vectors.
 
-Leaves of any size are searched in parts of bounded rows, so one hot leaf is many tasks.
+Neighbouring small leaves share a bucket of bounded rows; a large leaf is a bucket of its
+own, dealt out in parts, so one hot leaf is many tasks.  A task returns the k best of a
+query over all its visited leaves in the bucket.
 """
 
 from __future__ import annotations
@@ -140,21 +142,37 @@ def _brute(q_ids: list[int], q: np.ndarray, k: int):
     return run
 
 
-def _plan(tree: Tree, visits: int, sizes: dict[int, int], k: int, parts: dict[int, int]):
-    """Rows (query, leaf, part) for the leaves a query visits: ``visits`` of them, and more until k + 1 vectors are in reach."""
+def buckets_of(counts: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """leaf -> bucket, and bucket -> parts.  Leaves in tree order fill a bucket up to ``PART_ROWS`` rows; larger leaves stand alone."""
+    of, parts, bucket, filled = {}, {}, -1, PART_ROWS
+    for leaf in sorted(counts):
+        n = counts[leaf]
+        if n > PART_ROWS or filled + n > PART_ROWS:
+            bucket, filled = bucket + 1, 0
+        of[leaf], parts[bucket] = bucket, -(-n // PART_ROWS)
+        filled = PART_ROWS if n > PART_ROWS else filled + n
+    return of, parts
+
+
+def _plan(tree: Tree, visits: int, sizes: dict[int, int], k: int, of: dict[int, int], parts: dict[int, int]):
+    """Rows (query, bucket, part, leaves) for the leaves a query visits: ``visits`` of them, and more until k + 1 vectors are in reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for qid, v in zip(batch["vec_id"].to_pylist(), batch["v"].to_pylist(), strict=True):
                 seen, reach = 0, 0
+                found: dict[int, list[int]] = {}
                 for leaf in tree.visits(np.array(v, np.float64)):
-                    rows += [(qid, v, leaf, p) for p in range(parts.get(leaf, 0))]
+                    if leaf in of:
+                        found.setdefault(of[leaf], []).append(leaf)
                     seen, reach = seen + 1, reach + sizes.get(leaf, 0)
                     if seen >= visits and reach > k:
                         break
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.float64())), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["query_id", "q", "leaf", "part"])
+                rows += [(qid, v, bucket, p, leaves) for bucket, leaves in found.items() for p in range(parts[bucket])]
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = (pa.int64(), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["query_id", "q", "bucket", "part", "leaves"])
 
     return run
 
@@ -163,8 +181,13 @@ def _search(k: int):
     def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
         a, b, c = [], [], []
         if len(queries) and len(vectors):
-            ids, x = vectors["vec_id"].to_numpy(), _matrix(vectors["v"])
-            a, b, c = top_k(queries["query_id"].to_pylist(), _matrix(queries["q"]), ids, x, k)
+            vectors = vectors.sort_by("leaf")
+            ids, x, leaf = vectors["vec_id"].to_numpy(), _matrix(vectors["v"]), vectors["leaf"].to_numpy()
+            for qid, q, leaves in zip(queries["query_id"].to_pylist(), queries["q"].to_pylist(), queries["leaves"].to_pylist(), strict=True):
+                mine = np.isin(leaf, leaves)
+                found = top_k([qid], np.array([q], np.float64), ids[mine], x[mine], k)
+                for all_, some in zip((a, b, c), found, strict=True):
+                    all_.extend(some)
         return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
 
     return run
@@ -195,21 +218,23 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     tree = Tree(x, max(LEAF_SAMPLE, len(x) // MAX_LEAVES))
     index = materialise(vectors.mapInArrow(_assign(tree), "vec_id long, v array<double>, leaf int"), "leaves")
     counts = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
-    parts = {leaf: -(-n // PART_ROWS) for leaf, n in counts.items()}
+    of, parts = buckets_of(counts)
 
     queries = index.where(F.col("vec_id") % every == 0)
     probe = share_of(queries, "vec_id", CALIBRATION_QUERIES).select("vec_id", "v").toPandas().sort_values("vec_id").drop_duplicates("vec_id")
     visits = _calibrate(tree, index, probe, k)
 
-    planned = queries.select("vec_id", "v").mapInArrow(_plan(tree, visits, counts, k, parts), "query_id long, q array<double>, leaf int, part int")
+    planned = queries.select("vec_id", "v").mapInArrow(_plan(tree, visits, counts, k, of, parts), "query_id long, q array<double>, bucket int, part int, leaves array<int>")
     planned = materialise(planned, "visits")
-    asked = {r["leaf"]: r["count"] for r in planned.where("part = 0").groupBy("leaf").count().collect()}
-    salts = {leaf: -(-n // PART_QUERIES) for leaf, n in asked.items()}
-    spread = F.create_map(*[x for leaf in parts for x in (F.lit(leaf), F.struct(F.lit(parts[leaf]).alias("p"), F.lit(salts.get(leaf, 0)).alias("s")))])[F.col("leaf")]
-    left = planned.withColumn("salt", F.pmod(F.xxhash64("query_id"), spread["s"]).cast("int"))
-    right = index.select("vec_id", "v", "leaf", spread.alias("spread")).where("spread.s > 0").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("spread.p")).cast("int"))
+    asked = {r["bucket"]: r["count"] for r in planned.where("part = 0").groupBy("bucket").count().collect()}
+    salts = {bucket: -(-n // PART_QUERIES) for bucket, n in asked.items()}
+    spread = F.create_map(*[x for leaf, k_ in of.items() for x in (F.lit(leaf), F.struct(F.lit(k_).alias("b"), F.lit(parts[k_]).alias("p"), F.lit(salts.get(k_, 0)).alias("s")))])[F.col("leaf")]
+    salt_of = F.create_map(*[x for k_ in parts for x in (F.lit(k_), F.lit(salts.get(k_, 0)))])[F.col("bucket")]
+    left = planned.withColumn("salt", F.pmod(F.xxhash64("query_id"), salt_of).cast("int"))
+    right = index.select("vec_id", "v", "leaf", spread.alias("spread")).where("spread.s > 0").withColumn("bucket", F.col("spread.b")).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("spread.p")).cast("int"))
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread.s") - 1))).drop("spread")
-    found = left.groupBy("leaf", "part", "salt").cogroup(right.groupBy("leaf", "part", "salt")).applyInArrow(_search(k), "query_id long, vec_id long, score double")
+    keys = ("bucket", "part", "salt")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
