@@ -301,6 +301,25 @@ def test_template_of_a_host(spark, tmp_path):
     assert html_extract.extract_pages(written(pages.limit(0), tmp_path, "none")).count() == 0
 
 
+def test_template_inside_articles(spark, tmp_path):
+    rng = random.Random(61)
+    vocab = vocabulary(rng, 300)
+    rows, want = [], {}
+    for i in range(30):
+        want[i] = " ".join(rng.choices(vocab, k=30))
+        rows.append((i, f"http://a.example/p{i}", f"<html><body><article><div class='x'>Top stories today</div><p>{want[i]}</p><div>All rights kept</div></article></body></html>"))
+    for i in range(30, 40):  # copies of one article are no template
+        want[i] = "a copied article in two runs"
+        rows.append((i, f"http://b.example/p{i}", f"<nav>{vocab[i]}</nav><article><p>a copied article</p><p>in two runs</p></article>"))
+    for i in range(40, 50):  # tokens that change places
+        runs = ["first things", "second things"][:: 1 if i % 2 else -1]
+        want[i] = f"{runs[0]} {vocab[i]} {runs[1]}"
+        rows.append((i, f"http://c.example/p{i}", f"<article><p>{runs[0]}</p><p>{vocab[i]}</p><p>{runs[1]}</p></article>"))
+    pages = written(spark.createDataFrame(rows, "page_id long, url string, html string"), tmp_path)
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got == want
+
+
 # ---- 6: line dedup ------------------------------------------------------------------
 
 

@@ -3,13 +3,16 @@
 1. Every page becomes tokens: tags with their class, and text runs.  A token's
    occurrence vector over the pages of its host is reduced to a fingerprint (an
    exclusive-or of hashes of page and count), so hosts of any size are summed in
-   parallel; tokens of one fingerprint form an equivalence class.
-2. A class is valid if its tokens occur in most pages of the host and it has at least two
-   members; valid classes nest in the order of their first tokens and are the template.
+   parallel; tokens of one fingerprint form an equivalence class.  Pages with the same
+   text are one page here, so copies of an article do not become template.
+2. A class is valid if its tokens occur in at least half of the pages of the host, or of
+   the host's pages of one frame (the set of container elements and their names), and it
+   has at least two members.  Valid classes are the template.  On a page a class counts if
+   all its members are there, those that occur once in the order of their first tokens;
+   tokens without a fixed order are left out.
 3. What a page has beside template tokens are its slots.  Slots of regions that are not
    the article (by element, class or id) are dropped; the rest is the text.  Where a page
-   has an ``article`` or ``main`` element, only slots in it count and all their text
-   stays; elsewhere text runs that belong to the host's template are dropped too.
+   has an ``article`` or ``main`` element, only slots in it count.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialise, row_id, text_of
+from ._shared import materialise, text_of
 
 # Element names of HTML and words of class and id names.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes")
@@ -36,8 +39,12 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 WORDS = re.compile(r"[a-z]+")
-#: A class is part of a host's template if its tokens are in this share of at least so many pages.
+#: Elements that content brings along; they do not tell kinds of pages apart.
+FLOW = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th", "blockquote", "pre", "figure", "figcaption", "picture", "details", "summary", "center")
+#: A class is part of a template if its tokens are in this share of at least so many pages of the host or of one frame.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 4
+#: The hash of the empty token, which counts pages.
+NO_TOKEN = 0x2D06800538D394C2 - (1 << 63)
 
 
 def events(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
@@ -76,22 +83,61 @@ def tokens(page: str) -> Iterator[str]:
             yield f"{kind[0]}:{value}.{'.'.join(names)}"
 
 
+def frame(page: str) -> int:
+    """A number for the set of container elements and their class and id words: pages of one kind share it."""
+    import xxhash
+
+    found = {f"{value}.{'.'.join(names)}" for kind, value, names in events(page) if kind == "open" and value not in INLINE and value not in VOID and value not in RAW and value not in FLOW}
+    return xxhash.xxh3_64_intdigest("|".join(sorted(found)).encode()) - (1 << 63)
+
+
+def _framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        frames = pa.array([frame(page) for page in batch["html"].to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, frames], names=[*batch.schema.names, "frame"])
+
+
 def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per page and distinct token: host, hash of the token, hash of (page, count)."""
+    """One row per page and distinct token: host, frame, hashes of the token, of the page's text, of (text, count)."""
     import xxhash
 
     h = xxhash.xxh3_64_intdigest
     for batch in batches:
-        hosts, keys, prints, first, texts = [], [], [], [], []
-        for uid, host, page in zip(batch["uid"].to_pylist(), batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
+        hosts, frames, keys, contents, prints, first, texts = [], [], [], [], [], [], []
+        for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
             counts = Counter(tokens(page))
-            for place, (token, c) in enumerate(counts.items()):
+            kind, content = frame(page), h(extract(page, frozenset()).encode()) - (1 << 63)
+            for place, (token, c) in enumerate({"": 1, **counts}.items()):  # '' counts pages
                 hosts.append(host)
+                frames.append(kind)
                 keys.append(h(token.encode()) - (1 << 63))
-                prints.append(h(f"{uid}:{c}".encode()) - (1 << 63))
+                contents.append(content)
+                prints.append(h(f"{content}:{c}".encode()) - (1 << 63))
                 first.append(place)
                 texts.append(token.startswith("t:"))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(prints, pa.int64()), pa.array(first, pa.int32()), pa.array(texts, pa.bool_())], names=["host", "token", "print", "place", "is_text"])
+        arrays = [pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (frames, keys, contents, prints)), pa.array(first, pa.int32()), pa.array(texts, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "frame", "token", "content", "print", "place", "is_text"])
+
+
+Classes = list[tuple[int, ...]]
+
+
+def template_of(page: str, classes: Classes) -> frozenset[int]:
+    """The tokens of the classes (each in the order of its first tokens) that hold on this page."""
+    import xxhash
+
+    if not classes:
+        return frozenset()
+    h = xxhash.xxh3_64_intdigest
+    counts = Counter(h(t.encode()) - (1 << 63) for t in tokens(page))
+    place = {t: i for i, t in enumerate(counts)}
+    found: set[int] = set()
+    for members in classes:
+        if all(t in counts for t in members):
+            single = [place[t] for t in members if counts[t] == 1]
+            if single == sorted(single):
+                found.update(members)
+    return frozenset(found)
 
 
 class Region:
@@ -118,11 +164,13 @@ def extract(page: str, template: frozenset[int]) -> str:
             if side:
                 continue
             text = html.unescape(value)
-            if main:
-                inside.append(text)
-            elif not found_main:
+            if main or not found_main:
                 run = SPACE.sub(" ", text).strip(" ")
-                if run and h(f"t:{run}".encode()) - (1 << 63) not in template:
+                if run and h(f"t:{run}".encode()) - (1 << 63) in template:
+                    text = " "
+                if main:
+                    inside.append(text)
+                elif run:
                     outside.append(text)
             continue
         if value not in INLINE:
@@ -158,12 +206,10 @@ def extract(page: str, template: frozenset[int]) -> str:
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        last: tuple = (None, frozenset())
         out = []
-        for page, template in zip(batch["html"].to_pylist(), batch["template"].to_pylist(), strict=True):
-            if template != last[0]:
-                last = (template, frozenset(template or ()))
-            out.append(extract(page, last[1]))
+        rows = zip(batch["html"].to_pylist(), batch["of_host"].to_pylist(), batch["of_frame"].to_pylist(), strict=True)
+        for page, of_host, of_frame in rows:
+            out.append(extract(page, template_of(page, [tuple(c) for c in (of_host or []) + (of_frame or [])])))
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -172,19 +218,35 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``host, template``: the text tokens of each host's valid classes, from ``uid, host, html``.
+def _valid(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``*keys, classes``: the valid classes that hold text, from ``*keys, token, vector, n, place, is_text``.
 
-    A class must hold a tag or several tokens, and its tokens most pages; a template has
-    few tokens by that rule (a page's tokens over the share), however many pages there are.
+    A class has several tokens, each in the share of the distinct pages; so a template has
+    few tokens (a page's tokens over the share), however many pages there are.
     """
-    tokens_ = pages.mapInArrow(_hosts, "host string, token long, print long, place int, is_text boolean")
-    grouped = tokens_.groupBy("host", "token").agg(F.expr("bit_xor(print)").alias("vector"), F.count("*").alias("n"), F.min("place").alias("place"), F.first("is_text").alias("is_text")).where(F.col("n") >= TEMPLATE_PAGES)
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    frequent = grouped.join(sizes, "host").where(F.col("n") >= F.col("pages") * TEMPLATE_SHARE)
-    classes = frequent.groupBy("host", "vector", "n").agg(F.count("*").alias("members"), F.min("place").alias("start"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
-    valid = classes.where("members >= 2")
-    return valid.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("texts"))).alias("template"))
+    pages = F.col("token") == NO_TOKEN
+    sizes = counted.where(pages).select(*keys, F.col("n").alias("pages"))
+    frequent = counted.where(~pages & (F.col("n") >= TEMPLATE_PAGES)).join(sizes, keys).where(F.col("n") >= F.col("pages") * TEMPLATE_SHARE)
+    members = F.array_sort(F.collect_list(F.struct("place", "token")))
+    classes = frequent.groupBy(*keys, "vector", "n").agg(members.alias("members"), F.max("is_text").alias("is_text")).where(F.col("is_text") & (F.size("members") >= 2))
+    # tokens with a fixed order have places of their own
+    ordered = classes.withColumn("members", F.expr("filter(members, m -> size(filter(members, x -> x.place = m.place)) = 1)"))
+    return ordered.groupBy(*keys).agg(F.collect_list("members.token").alias("classes"))
+
+
+def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``host, of_host`` and ``host, frame, of_frame``: valid classes of each host and of each frame, from ``host, html``."""
+    rows = pages.mapInArrow(_hosts, "host string, frame long, token long, content long, print long, place int, is_text boolean")
+    once = rows.groupBy("host", "frame", "token", "content").agg(F.min("print").alias("print"), F.min("place").alias("place"), F.first("is_text").alias("is_text"))
+    summed = lambda df, keys, vector, n: df.groupBy(*keys, "token").agg(F.expr(f"bit_xor({vector})").alias("vector"), n.alias("n"), F.min("place").alias("place"), F.first("is_text").alias("is_text"))
+    by_frame = materialise(summed(once, ["host", "frame"], "print", F.count("*")), "frames")
+    by_host = summed(by_frame, ["host"], "vector", F.sum("n"))
+    return _valid(by_host, ["host"]).withColumnRenamed("classes", "of_host"), _valid(by_frame, ["host", "frame"]).withColumnRenamed("classes", "of_frame")
+
+
+def _small(found: DataFrame, column: str) -> bool:
+    tokens_, rows = found.agg(F.sum(F.expr(f"aggregate({column}, 0L, (n, c) -> n + size(c))")), F.count("*")).first()
+    return (tokens_ or 0) * 8 + rows * 64 <= 16 << 20
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -193,8 +255,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Null or empty html gives the empty text.  Pages without a host share the host ''.
     Repeated rows are pages of their own.  ``pages`` must be a stable source.
     """
-    rows = pages.select(row_id(pages).alias("uid"), F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(F.col(f"`{url_col}`")).alias("host"), text_of(f"`{html_col}`").alias("html"))
-    found = materialise(templates(rows.select("uid", "host", "html")), "templates")
-    small = (found.agg(F.sum(F.size("template"))).first()[0] or 0) * 8 <= 16 << 20 and found.count() * 64 <= 16 << 20
-    joined = rows.join(F.broadcast(found) if small else found, "host", "left")
-    return joined.select("page_id", "url", "html", "template").mapInArrow(_apply, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host_of(F.col(f"`{url_col}`")).alias("host"), text_of(f"`{html_col}`").alias("html"))
+    joined = rows.mapInArrow(_framed, "page_id long, url string, host string, html string, frame long")
+    for found, keys, name in zip(templates(rows.select("host", "html")), (["host"], ["host", "frame"]), ("of_host", "of_frame"), strict=True):
+        found = materialise(found, name)
+        joined = joined.join(F.broadcast(found) if _small(found, name) else found, keys, "left")
+    return joined.select("page_id", "url", "html", "of_host", "of_frame").mapInArrow(_apply, "page_id long, url string, text string, n_chars long")
