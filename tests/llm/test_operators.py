@@ -320,6 +320,18 @@ def test_template_inside_articles(spark, tmp_path):
     assert got == want
 
 
+def test_templates_of_kinds_of_pages(spark, tmp_path):
+    rng = random.Random(62)
+    vocab = vocabulary(rng, 300)
+    rows, want = [], {}
+    for i in range(60):
+        want[i] = " ".join(rng.choices(vocab, k=30))
+        kind = ("news", "shop", "wiki")[i % 3]
+        rows.append((i, f"http://a.example/p{i}", f"<html><body><div class='{kind}'><p>The {kind} pages</p></div><div><p>{want[i]}</p></div><div>End of {kind}</div></body></html>"))
+    pages = written(spark.createDataFrame(rows, "page_id long, url string, html string"), tmp_path)
+    assert {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()} == want
+
+
 # ---- 6: line dedup ------------------------------------------------------------------
 
 
