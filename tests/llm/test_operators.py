@@ -255,6 +255,27 @@ def test_toxicity_held_out(spark):
     assert sum(test) / len(test) > 0.95
 
 
+def test_toxic_words_of_a_small_table_with_copies(spark):
+    rng = random.Random(51)
+    vocab, insults = vocabulary(rng, 200), ["scum", "trash", "moron", "loser"]
+    docs, labels = [], []
+    for i in range(80):
+        text = rng.choices(vocab, k=40)
+        if i % 8 == 0:
+            text[5:7] = rng.sample(insults, 2)
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 8 == 0)))
+    hot = next(i for i in range(0, 80, 8) if zlib.crc32(str(i).encode()) % 5)
+    copies = [(1000 + i, docs[hot][1]) for i in range(300) if zlib.crc32(str(1000 + i).encode()) % 5]
+    frame = lambda d, y: (spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(y, "doc_id long, toxic int"))
+    plain = toxicity.fit(*frame(docs, labels)).lexicon
+    hot_too = toxicity.fit(*frame(docs + copies, labels + [(i, 1) for i, _ in copies])).lexicon
+    seen = " ".join(t for i, t in docs if i % 8 == 0 and zlib.crc32(str(i).encode()) % 5).split()
+    often = [w for w in insults if seen.count(w) >= 3]
+    assert often and all(plain.weight(w) > 0 for w in often)
+    assert all(plain.weight(w) == hot_too.weight(w) for w in [*insults, *vocab])
+
+
 def test_labels_of_one_kind(spark):
     docs, labels = labelled(spark, 20)
     for label in (0, 1):

@@ -1,13 +1,15 @@
 """Toxicity: maximum-scoring segments over token log-odds, with extreme-value calibration.
 
-Fit, from labelled training rows only:
-* token log-odds toxic against clean with a Dirichlet prior (half a count, and ``PRIOR``
-  counts in proportion to overall frequency); tokens are words and their 4- and 5-letter
-  beginnings, counted once per document.  A token's weight is the log-odds less two
-  standard errors; the model keeps the ``LEXICON`` heaviest of at least ``LEAST_WEIGHT``.
-* the weight of every other token: the (negative) log-odds of a token outside the lexicon.
-* the Gumbel scale of clean documents' best segments, and a logistic curve from
-  extreme-value scores to probabilities.
+Fit, from labelled training rows only, equal texts of one label counted once:
+* token log-odds toxic against clean under a Dirichlet prior of ``PRIOR`` documents a class
+  beside the number expected from the token's overall frequency, so that rare tokens are
+  drawn to zero and unequal classes favour none; tokens are words and their 4- and 5-letter
+  beginnings, counted once per document.  Every counted token is kept (12 bytes each).
+* a word scores the greatest log-odds of its counted tokens, none 0, less ``DRIFT``, so
+  that clean text drifts down.
+* the constant K of the extreme-value law of clean documents' best segments, and a logistic
+  curve from extreme-value scores to probabilities.  Both see each row with the weights
+  that the other rows give.
 
 Score: Ruzzo and Tompa's linear scan finds all maximal segments of a whole text; each
 gets the extreme-value score ``S - ln(K n)``, and those over the significance limit count.
@@ -19,18 +21,22 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import fold, materialise, share_of, text_of
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Bounds of the model: tokens kept, and labelled rows used for the two-number calibration.
-LEXICON, CALIBRATION_ROWS = 5_000, 20_000
-PRIOR, LEAST_WEIGHT, LEAST_DOCS = 500.0, 1.5, 4
+#: Labelled rows used for the calibration.
+CALIBRATION_ROWS = 20_000
+#: Both by leave-one-out over the training rows of sf0.01 and sf0.1.
+PRIOR, DRIFT = 1.0, 2.0
 SIGNIFICANT = 0.05
 #: Labels up to this size are broadcast; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
@@ -65,13 +71,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def maximal_segments(places: list[int], weights: list[float], rest: float) -> list[tuple[float, int, int]]:
+def maximal_segments(places: list[int], weights: list[float], rest: float, gaps: list[float] | None = None) -> list[tuple[float, int, int]]:
     """All maximal-scoring segments (score, first, last token) of a sequence in which the given places have
-    positive weights and every other token has weight ``rest`` < 0.  Ruzzo and Tompa's algorithm over the positive places."""
+    positive weights and every other token has weight ``rest`` < 0, or those before each place sum to ``gaps``.  Ruzzo and Tompa's algorithm over the positive places."""
     stack: list[tuple[float, float, int, int, int]] = []  # left sum, right sum, first, last, index of the nearest lower left sum
     total, before = 0.0, -1
-    for place, weight in zip(places, weights, strict=True):
-        total += rest * (place - before - 1)
+    for i, (place, weight) in enumerate(zip(places, weights, strict=True)):
+        total += rest * (place - before - 1) if gaps is None else gaps[i]
         left, first = total, place
         total += weight
         before = place
@@ -88,11 +94,22 @@ def maximal_segments(places: list[int], weights: list[float], rest: float) -> li
     return [(r - le, a, b) for le, r, a, b, _ in stack]
 
 
+def token_hash(token: str) -> int:
+    return xxhash.xxh3_64_intdigest(token.encode()) - (1 << 63)
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens by their hash."""
+    for batch in batches:
+        hashes = pa.array([token_hash(t) for t in batch["token"].to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([hashes, *batch.columns[1:]], names=["hash", *batch.schema.names[1:]])
+
+
 class Lexicon:
     """Weights of tokens and of the rest; finds segments of a text."""
 
-    def __init__(self, weights: dict[str, float], rest: float):
-        self.weights, self.rest = weights, rest
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray):
+        self.hashes, self.weights = hashes, weights  # sorted by hash; NaN is a token not counted
         self.known: dict[str, float] = {}
 
     def weight(self, word: str) -> float:
@@ -100,7 +117,10 @@ class Lexicon:
         if w is None:
             if len(self.known) > 400_000:
                 self.known.clear()
-            w = self.known[word] = max((self.weights.get(t, 0.0) for t in tokens_of(word)), default=0.0)
+            keys = np.array([token_hash(t) for t in tokens_of(word)], np.int64)
+            at = np.searchsorted(self.hashes, keys)
+            found = [float(self.weights[i]) for i, k in zip(at, keys, strict=True) if i < len(self.hashes) and self.hashes[i] == k]
+            w = self.known[word] = max((x for x in found if x == x), default=0.0) - DRIFT
         return w
 
     def segments(self, text: str) -> tuple[int, list[tuple[float, int, int]]]:
@@ -111,22 +131,31 @@ class Lexicon:
         except KeyError:
             values = [self.weight(w) for w in words]
         places = [i for i, v in enumerate(values) if v > 0]
-        return len(words), maximal_segments(places, [values[i] for i in places], self.rest)
+        sums = list(accumulate(values, initial=0.0))
+        gaps = [sums[i] - sums[before + 1] for before, i in zip([-1, *places], places, strict=False)]
+        return len(words), maximal_segments(places, [values[i] for i in places], -DRIFT, gaps)
 
 
-def fit_weights(counts: DataFrame) -> Lexicon:
-    """Log-odds of the tokens in ``counts(token, toxic, clean)``; only the kept ones reach the driver."""
-    total = counts.agg(F.sum("toxic"), F.sum("clean")).first()
+def fit_weights(counts: DataFrame) -> tuple[Lexicon, dict[int, Lexicon]]:
+    """Log-odds of the tokens in ``counts(token, toxic, clean)``, and by label those that the other rows give a row of it."""
     docs = counts.where("token = ''").agg(F.sum("toxic"), F.sum("clean")).first()
-    n1, n0 = float(total[0] or 0) + 1, float(total[1] or 0) + 1
     d1, d0 = float(docs[0] or 0), float(docs[1] or 0)
-    alpha = F.lit(0.5) + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / F.lit(n1 + n0)
-    odds = lambda y, n: F.log((F.col(y) + alpha) / (F.lit(n + PRIOR) - F.col(y) - alpha))
-    scored = counts.where((F.col("token") != "") & (F.col("toxic") + F.col("clean") >= LEAST_DOCS)).withColumn("odds", odds("toxic", n1) - odds("clean", n0))
-    scored = scored.withColumn("weight", F.col("odds") - 2 * F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha)))
-    kept = scored.where(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "token").limit(LEXICON).select("token", "weight", "toxic").collect()
-    share = sum(r["toxic"] for r in kept) / n1 if d1 and d0 else 0.0
-    return Lexicon({r["token"]: float(r["weight"]) for r in kept}, -max(0.005, min(0.5, share)))
+    if not d1 or not d0:
+        none = Lexicon(np.zeros(0, np.int64), np.zeros(0, np.float32))
+        return none, {0: none, 1: none}
+
+    def odds(y, z, n1: float, n0: float):
+        rate = (y + z) / F.lit(n1 + n0)
+        return F.when(y + z > 0, F.log((y + PRIOR) / (rate * n1 + PRIOR)) - F.log((z + PRIOR) / (rate * n0 + PRIOR))).otherwise(F.lit(float("nan")))
+
+    y, z = F.col("toxic"), F.col("clean")
+    without = {1: odds(F.greatest(y - 1, F.lit(0)), z, d1 - 1, d0), 0: odds(y, F.greatest(z - 1, F.lit(0)), d1, d0 - 1)}
+    kept = counts.where("token <> ''").select("token", *(w.cast("float").alias(c) for c, w in (("weight", odds(y, z, d1, d0)), ("without0", without[0]), ("without1", without[1]))))
+    got = kept.mapInArrow(_hashed, "hash long, weight float, without0 float, without1 float").toArrow()
+    hashes = got["hash"].to_numpy()
+    order = np.argsort(hashes)
+    full, zero, one = (Lexicon(hashes[order], got[c].to_numpy()[order]) for c in ("weight", "without0", "without1"))
+    return full, {0: zero, 1: one}
 
 
 def _evidence(lexicon: Lexicon, k: float, scale: float):
@@ -174,12 +203,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     train = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").alias("text")).where(fold(folds, "id") != held_fold)
     given = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("toxic IS NOT NULL")
     small = given.count() * 32 <= BROADCAST_BYTES
-    train = materialise(train.join(F.broadcast(given) if small else given, "id"), "toxic-train")
+    train = materialise(train.join(F.broadcast(given) if small else given, "id").dropDuplicates(["text", "toxic"]), "toxic-train")
     counts = materialise(train.mapInArrow(_count, "token string, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-counts")
-    lexicon = fit_weights(counts)
+    lexicon, without = fit_weights(counts)
     sample = share_of(train, "id", CALIBRATION_ROWS).select("text", "toxic")
     schema = "toxic int, best double, total double, passages int, raw double, n_words long"
-    got = sample.mapInArrow(_evidence(lexicon, 1.0, 1.0), schema).toPandas()
+    parts = [sample.where(F.col("toxic") == 0 if not label else F.col("toxic") != 0).mapInArrow(_evidence(without[label], 1.0, 1.0), schema).toPandas() for label in (0, 1)]
+    got = pd.concat(parts, ignore_index=True)
+    got["toxic"] = (got["toxic"] != 0).astype(int)
     y = got["toxic"].to_numpy(float)
     clean = got[(got["toxic"] == 0)]
     k, scale = gumbel(clean["raw"].to_numpy(float), clean["n_words"].to_numpy(float))
