@@ -222,3 +222,10 @@ def test_untracked_columns_make_no_versions(spark):
     feed = spark.createDataFrame([("A", "x", "b1", 1, "UPSERT"), ("A", "x", "b2", 2, "UPSERT"), ("A", None, "b3", 3, "UPSERT"), ("A", None, None, 4, "DELETE"), ("A", None, None, 5, "DELETE")], "k string, v string, batch string, seq int, op string")
     got = [(r.v, r.batch, r["__START_AT"], r["__END_AT"]) for r in cdc.apply_changes(feed, ["k"], untracked=["batch"]).orderBy("__START_AT").collect()]
     assert got == [("x", "b1", 1, 3), (None, "b3", 3, 4)]
+
+
+def test_change_feed_within_tenants(spark):
+    rows = [("a", "x", 1, "full"), ("a", "y", 2, "full"), ("b", "x", 1, "full"), ("b", "y", 3, "full")]
+    df = spark.createDataFrame(rows, "tenant string, k string, extract_seq int, load_mode string").withColumn("attr", F.lit("v"))
+    feed = cdc.change_feed(df, ["tenant", "k"], ["attr"], within=["tenant"])
+    assert sorted((r.tenant, r.k, r.seq) for r in feed.collect() if r.op == "DELETE") == [("a", "x", 2), ("b", "x", 3)]

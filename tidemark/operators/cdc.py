@@ -13,15 +13,16 @@ from .scd2 import deletion_events
 UPSERT, DELETE = "UPSERT", "DELETE"
 
 
-def change_feed(extracts: DataFrame, keys: Sequence[str], attributes: Sequence[str], seq: str = "extract_seq", mode: str = "load_mode") -> DataFrame:
+def change_feed(extracts: DataFrame, keys: Sequence[str], attributes: Sequence[str], seq: str = "extract_seq", mode: str = "load_mode", within: Sequence[str] = ()) -> DataFrame:
     """An UPSERT per delivered row and a DELETE, without attributes, per key known before a full extract and absent from it.
 
     A key gets a DELETE for every later full extract that it is absent from, so applying
-    a feed must be idempotent.  The full extracts' numbers travel as one small array.
+    a feed must be idempotent.  The full extracts' numbers travel as one small array for
+    each value of ``within``, the keys that have full extracts of their own (the tenant).
     """
     rows = extracts.select(*keys, *attributes, F.col(seq).alias("seq"), F.lit(UPSERT).alias("op"))
-    fulls = extracts.where(F.col(mode) == "full").agg(F.array_sort(F.collect_set(seq)).alias("_full")).withColumn("_one", F.lit(1))
-    seen = extracts.groupBy(*keys).agg(F.collect_set(seq).alias("_seen"), F.min(seq).alias("_first")).withColumn("_one", F.lit(1)).join(F.broadcast(fulls), "_one")
+    fulls = extracts.where(F.col(mode) == "full").withColumn("_one", F.lit(1)).groupBy("_one", *within).agg(F.array_sort(F.collect_set(seq)).alias("_full"))
+    seen = extracts.groupBy(*keys).agg(F.collect_set(seq).alias("_seen"), F.min(seq).alias("_first")).withColumn("_one", F.lit(1)).join(F.broadcast(fulls), ["_one", *within])
     missed = seen.select(*keys, F.explode(F.filter(F.array_except("_full", "_seen"), lambda s: s > F.col("_first"))).alias("seq"))
     nulls = [F.lit(None).cast(extracts.schema[a].dataType).alias(a) for a in attributes]
     return rows.unionByName(missed.select(*keys, *nulls, "seq", F.lit(DELETE).alias("op")))

@@ -651,6 +651,24 @@ def cdc_scd1(spark, sf):
     return cdc.apply_changes(feed, ["entity_key"], scd_type=1)
 
 
+def _tenant_feed(spark, sf):
+    """The feed of all tenants, each with full extracts of its own."""
+    rows = staged_events(spark, sf).select("tenant_id", "entity_key", F.col("bucket").cast("string").alias("attr"), F.dayofmonth("_ingest_ts").alias("extract_seq"), F.col("_load_mode").alias("load_mode"))
+    return cdc.change_feed(rows, ["tenant_id", "entity_key"], ["attr"], within=["tenant_id"])
+
+
+_TENANT_FEED_SQL = STAGED_SQL + """, ex AS (SELECT tenant_id, entity_key, bucket::VARCHAR AS attr, day(_ingest_ts)::INTEGER AS extract_seq, _load_mode AS load_mode FROM staged),
+fulls AS (SELECT DISTINCT tenant_id, extract_seq FROM ex WHERE load_mode = 'full'),
+feed AS (SELECT tenant_id, entity_key, attr, extract_seq AS seq, 'UPSERT' AS op FROM ex UNION ALL
+  SELECT DISTINCT k.tenant_id, k.entity_key, NULL, f.extract_seq, 'DELETE' FROM fulls f JOIN (SELECT DISTINCT tenant_id, entity_key, extract_seq FROM ex) k ON k.tenant_id = f.tenant_id AND k.extract_seq < f.extract_seq
+  WHERE NOT EXISTS (SELECT 1 FROM ex e WHERE e.tenant_id = k.tenant_id AND e.entity_key = k.entity_key AND e.extract_seq = f.extract_seq))"""
+
+
+@query(f"WITH {_TENANT_FEED_SQL} SELECT tenant_id, entity_key, attr, seq, op FROM feed")
+def change_feed_tenants(spark, sf):
+    return _tenant_feed(spark, sf)
+
+
 # ---- proofs -------------------------------------------------------------------------
 
 
