@@ -229,3 +229,14 @@ def test_change_feed_within_tenants(spark):
     df = spark.createDataFrame(rows, "tenant string, k string, extract_seq int, load_mode string").withColumn("attr", F.lit("v"))
     feed = cdc.change_feed(df, ["tenant", "k"], ["attr"], within=["tenant"])
     assert sorted((r.tenant, r.k, r.seq) for r in feed.collect() if r.op == "DELETE") == [("a", "x", 2), ("b", "x", 3)]
+
+
+def test_pit_join_of_all_events(spark):
+    import os
+
+    from tidemark.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    assert QUERIES["pit_join_all"](spark, sf).count() == spark.read.parquet(f"{sf}/events.parquet").count()

@@ -758,3 +758,15 @@ def pit_join(spark, sf):
     left = s.where("event_id % 3 = 0").select("tenant_id", "entity_key", "event_id", "modified_ts")
     right = scd2.assign_versions(s).where("valid_from < valid_to").select("tenant_id", "entity_key", "valid_from", "valid_to", F.col("bucket").alias("state"))
     return gold.pit_join(left, right, ["tenant_id", "entity_key"], "modified_ts", ["state"]).select("event_id", "state")
+
+
+@query(
+    f"""WITH {VERSIONS_SQL}, l AS (SELECT entity_key, tenant_id, event_id, modified_ts FROM staged),
+    m AS (SELECT l.event_id, v.bucket FROM l JOIN versions v ON v.tenant_id = l.tenant_id AND v.entity_key = l.entity_key AND l.modified_ts >= v.valid_from AND l.modified_ts < v.valid_to)
+    SELECT l.event_id, m.bucket AS state FROM l LEFT JOIN m USING (event_id)"""
+)
+def pit_join_all(spark, sf):
+    """Every event against the versions of its entity."""
+    s = staged_events(spark, sf)
+    right = scd2.assign_versions(s).where("valid_from < valid_to").select("tenant_id", "entity_key", "valid_from", "valid_to", F.col("bucket").alias("state"))
+    return gold.pit_join(s.select("tenant_id", "entity_key", "event_id", "modified_ts"), right, ["tenant_id", "entity_key"], "modified_ts", ["state"]).select("event_id", "state")
