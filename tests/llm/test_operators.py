@@ -158,45 +158,125 @@ def held(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
 
 
-def plain_lm(docs, strengths):
-    uni, bi, ctx = Counter(), Counter(), Counter()
+def plain_lm(docs, mus):
+    """Scores by the recursive definition, and by a traversal of an automaton held in dictionaries."""
+    order = len(mus) + 1
+    n_of = Counter()
     for i, t in docs:
-        seq = ["<s>", *words(t), "</s>"]
+        seq = ("<s>", *words(t), "</s>")
         if not held(i):
-            uni.update(seq[1:])
-            bi.update(itertools.pairwise(seq))
-            ctx.update(seq[:-1])
+            n_of.update(seq[a : a + k] for k in range(1, order + 1) for a in range(len(seq) - k + 1))
+    uni = {g[0]: c for g, c in n_of.items() if len(g) == 1 and g != ("<s>",)}
     n, v = sum(uni.values()), len(uni)
 
     def p(h, w):
-        low = (uni[w] + 0.5) / (n + 0.5 * (v + 1))
-        mu = strengths[sum(ctx[h] >= c for c in lm_scoring.CLASSES) - 1]
-        return (bi[h, w] + mu * low) / (ctx[h] + mu) if ctx[h] else low
-
-    for h in [*list(ctx)[:5], "never seen"]:
-        assert abs(sum(p(h, w) for w in [*uni, "<unk>"]) - 1) < 1e-9
+        if not h:
+            return (uni.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))
+        mu, low = mus[len(h) - 1], p(h[1:], w)
+        return (n_of[*h, w] + mu * low) / (n_of[h] + mu) if n_of[h] else low
+
+    states = {g for g in n_of if len(g) < order and g[-1] != "</s>"} | {()}
+    for h in [*list(states)[:8], ("never", "seen")]:
+        assert abs(sum(p(h[-(order - 1) :] if order > 1 else (), w) for w in [*uni, "<unk>"]) - 1) < 1e-9
+
+    def suffix(g):
+        while g not in states:
+            g = g[1:]
+        return g
+
+    arcs = {(g[:-1], g[-1]): (math.log10(p(g[:-1], g[-1])), suffix(g[-(order - 1) :] if order > 1 else ())) for g in n_of if g[:-1] in states}
+    unknown = (math.log10(p((), "never seen")), ())
     out = []
     for i, t in docs:
         seq = ["<s>", *words(t), "</s>"]
-        base = sum(math.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in seq[1:])
-        out.append((i, held(i), len(seq) - 1, sum(uni[w] > 0 for w in seq[1:]), n, base, sum(math.log10(p(h, w)) for h, w in itertools.pairwise(seq))))
+        plain = sum(math.log10(p(tuple(seq[max(0, a - order + 1) : a]), seq[a])) for a in range(1, len(seq)))
+        state, walked = suffix(("<s>",) if order > 1 else ()), 0.0
+        for w in seq[1:]:
+            while (state, w) not in arcs and state:
+                walked += math.log10(mus[len(state) - 1] / (n_of[state] + mus[len(state) - 1]))
+                state = state[1:]
+            gained, state = arcs.get((state, w), unknown)
+            walked += gained
+        assert abs(plain - walked) < 1e-6 * max(1, abs(plain))
+        base = sum(math.log10((uni.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in seq[1:])
+        out.append((i, held(i), len(seq) - 1, sum(uni.get(w, 0) > 0 for w in seq[1:]), n, base, plain))
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 24, 400])
-def test_lm_scores(spark, tmp_path, monkeypatch, block):
+def plain_strength(docs, level):
+    """The strength by its definition, from the counts themselves."""
+    grams, contexts = Counter(), Counter()
+    for i, t in docs:
+        seq = ("<s>", *words(t), "</s>")
+        if not held(i):
+            grams.update(seq[a : a + level] for a in range(len(seq) - level + 1))
+            contexts.update(seq[a : a + level - 1] for a in range(len(seq) - level + 2))
+    del contexts[("</s>",)]
+    once = sum(c == 1 for c in grams.values())
+    mass = lambda mu: sum(c * mu / (c - 1 + mu) for c in contexts.values())
+    return mass, once
+
+
+@pytest.mark.parametrize("block,lane,order,fan", [(1 << 24, 256, 3, 256), (400, 3, 3, 256), (300, 1, 3, 2), (400, 2, 2, 3), (400, 2, 1, 2), (700, 5, 4, 4)])
+def test_lm_scores(spark, tmp_path, monkeypatch, block, lane, order, fan):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm_scoring, "LANE", lane)
     rng = random.Random(3)
-    vocab = vocabulary(rng, 40)
-    docs = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 30)))) for i in range(60)] + [(5, "One oNe"), (None, None), (61, "Zz yy Zz"), (61, "Zz yy Zz")]
-    df = written(spark.createDataFrame(docs, "doc_id long, text string").withColumn("block", F.lit("x")), tmp_path)
-    got = lm_scoring.score(df).collect()
-    want = plain_lm([(r.doc_id, r.text) for r in df.collect()], got[0].strengths)
+    vocab = vocabulary(rng, 12)
+    docs = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 30)))) for i in range(60)] + [(5, "One oNe"), (None, None), (61, "Zz yy Zz"), (61, "Zz yy Zz"), (62, "a b " * 300)]
+    df = written(spark.createDataFrame(docs, "doc_id long, text string").withColumn("node", F.lit("x")).withColumn("level", F.lit(1)), tmp_path)
+    got = lm_scoring.score(df, order=order, fan=fan).collect()
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    want = plain_lm(rows, got[0].strengths)
     key = lambda r: (str(r[0]), *(round(x, 6) for x in r[2:]))
     assert [key(tuple(r)[:7]) for r in sorted(got, key=lambda r: key(tuple(r)[:7]))] == sorted(key(w) for w in want)
+    for level, mu in enumerate(got[0].strengths, 2):
+        mass, once = plain_strength(rows, level)
+        assert mass(mu / 1.05) <= once * 1.01 and mass(mu * 1.05) >= once * 0.99 or mu < 2e-3
     assert lm_scoring.score(written(df.limit(0), tmp_path, "none")).count() == 0
 
 
+def test_every_state_of_the_automaton_sums_to_one():
+    rng = random.Random(31)
+    vocab = vocabulary(rng, 15)
+    rows = [(i, i % 5 == 0, " ".join(rng.choices(vocab, k=40)).encode()) for i in range(30)]
+    block = lm_scoring.Block(rows, 3, 60)
+    totals = [block.counts(k) for k in (1, 2, 3)]
+    start = block.number[0][0]
+    unigram = np.where(np.arange(len(totals[0])) == start, 0, totals[0])
+    a = lm_scoring.Automaton(block, totals, int(unigram.sum()), int((unigram > 0).sum()), [1.5, 0.7])
+    arcs_of = defaultdict(dict)
+    for level in (1, 2, 3):
+        for g, arc in enumerate(a.arc_of[level - 1]):
+            at = block.at[level - 1][g]
+            if arc >= 0 and (level > 1 or g != start):
+                source = a.of[level - 2][block.number[level - 2][at - 1]] if level > 1 else 0
+                arcs_of[int(source)][int(block.number[0][at])] = a.weight[arc]
+    seen = np.flatnonzero((totals[0] > 0) & (np.arange(len(totals[0])) != start))
+    assert len(a.fail) == len(a.fail_weight) == len(a.depths) and (a.depths[a.fail[1:]] == a.depths[1:] - 1).all()
+
+    def log_p(state, word):
+        lost = 0.0
+        while word not in arcs_of[state]:
+            lost, state = lost + a.fail_weight[state], int(a.fail[state])
+        return lost + arcs_of[state][word]
+
+    unknown = 0.5 / (unigram.sum() + 0.5 * (len(seen) + 1))
+    for state in range(0, len(a.fail), 7):
+        lost, s = 0.0, state
+        while s:
+            lost, s = lost + a.fail_weight[s], int(a.fail[s])
+        assert abs(sum(10 ** log_p(state, int(w)) for w in seen) + 10**lost * unknown - 1) < 1e-9
+
+
+def test_keys_of_sub_ranges_nest():
+    keys = np.unique(np.random.default_rng(2).integers(0, 1 << 44, 5000, dtype=np.uint64))
+    whole = lm_scoring.ranges(keys, 44, 0, 1, 9)
+    for part in range(3):
+        mine = keys[lm_scoring.ranges(keys, 44, 0, 1, 3)[part] : lm_scoring.ranges(keys, 44, 0, 1, 3)[part + 1]]
+        assert (np.diff(lm_scoring.ranges(mine, 44, part, 3, 3)) == np.diff(whole)[3 * part : 3 * part + 3]).all()
+
+
 def test_sorted_keys_round_trip():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
     assert (lm_scoring.unpack_sorted(lm_scoring.pack_sorted(keys)) == keys).all()
