@@ -12,7 +12,7 @@ import random
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
-from ..functions.mapping import MappingRow
+from ..functions.projection import MappingRow
 
 #: Per tenant: names of id, level, status, title, owner and change time, its time format (Python, Spark), private columns.
 TENANTS = {

@@ -53,6 +53,14 @@ def list_with_spark(spark, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified_at"), "length")
 
 
+def list_any(spark, root: str) -> tuple[LandingEntry, ...]:
+    """All files below a root: by the file system where it is a local path, else by Spark, whatever store it names."""
+    if "://" not in root:
+        return list_folder(root)
+    found = list_with_spark(spark, root).select("path", F.unix_micros("modified_at").alias("us")).collect()
+    return tuple(LandingEntry(r["path"], datetime.fromtimestamp(r["us"] / 1e6, UTC)) for r in found)
+
+
 def classify(root: str, entry: LandingEntry, levels: tuple[str, ...]) -> LandingFile:
     try:
         below = PurePosixPath(entry.path).relative_to(PurePosixPath(root))
