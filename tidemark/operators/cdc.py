@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..columns import DELETED, HASH
-from .scd2 import deletion_events
+from ..workspace import materialise
+from .scd2 import BROADCAST_FILES, deletion_events
 
 UPSERT, DELETE = "UPSERT", "DELETE"
 
@@ -17,15 +18,27 @@ def change_feed(extracts: DataFrame, keys: Sequence[str], attributes: Sequence[s
     """An UPSERT per delivered row and a DELETE, without attributes, per key known before a full extract and absent from it.
 
     A key gets a DELETE for every later full extract that it is absent from, so applying
-    a feed must be idempotent.  The full extracts' numbers travel as one small array for
-    each value of ``within``, the keys that have full extracts of their own (the tenant).
+    a feed must be idempotent.  ``within`` names the keys that have full extracts of their
+    own (the tenant).  Between two extracts that hold a key lie the full ones it is absent
+    from; ordinals of extracts say which, so no list of them travels with the keys.
     """
     rows = extracts.select(*keys, *attributes, F.col(seq).alias("seq"), F.lit(UPSERT).alias("op"))
-    fulls = extracts.where(F.col(mode) == "full").withColumn("_one", F.lit(1)).groupBy("_one", *within).agg(F.array_sort(F.collect_set(seq)).alias("_full"))
-    seen = extracts.groupBy(*keys).agg(F.collect_set(seq).alias("_seen"), F.min(seq).alias("_first")).withColumn("_one", F.lit(1)).join(F.broadcast(fulls), ["_one", *within])
-    missed = seen.select(*keys, F.explode(F.filter(F.array_except("_full", "_seen"), lambda s: s > F.col("_first"))).alias("seq"))
+    numbers = extracts.groupBy(*within, F.col(seq).alias("_seq")).agg(F.max((F.col(mode) == "full").cast("int")).alias("_full"))
+    numbers = materialise(numbers, "extracts")
+    sized = F.broadcast if numbers.count() <= BROADCAST_FILES else (lambda df: df)
+    order = Window.partitionBy(*within).orderBy("_seq") if within else Window.orderBy("_seq")  # one row per extract
+    until = F.sum("_full").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbers = numbers.withColumn("_until", until).withColumn("_before", F.col("_until") - F.col("_full")).withColumn("_all", F.sum("_full").over(Window.partitionBy(*within)))
+    seen = extracts.select(*keys, F.col(seq).alias("_seq")).distinct()
+    seen = seen.withColumn("_next", F.lead("_seq").over(Window.partitionBy(*keys).orderBy("_seq")))
+    own = numbers.select(*within, "_seq", F.col("_until").alias("_from"), "_all")
+    following = numbers.select(*within, F.col("_seq").alias("_next"), F.col("_before").alias("_to"))
+    gaps = seen.join(sized(own), [*within, "_seq"]).join(sized(following), [*within, "_next"], "left")
+    gaps = gaps.withColumn("_to", F.coalesce("_to", "_all")).where("_from < _to").select(*keys, F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("_n"))
+    fulls = numbers.where("_full = 1").select(*within, F.col("_before").alias("_n"), F.col("_seq").alias("seq"))
     nulls = [F.lit(None).cast(extracts.schema[a].dataType).alias(a) for a in attributes]
-    return rows.unionByName(missed.select(*keys, *nulls, "seq", F.lit(DELETE).alias("op")))
+    missed = gaps.join(sized(fulls), [*within, "_n"]).select(*keys, *nulls, "seq", F.lit(DELETE).alias("op"))
+    return rows.unionByName(missed)
 
 
 def staged_feed(staged: DataFrame) -> DataFrame:
