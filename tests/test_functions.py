@@ -6,31 +6,30 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import config
-from tidemark.functions import hashing, mapping, quality
-from tidemark.functions.mapping import MappingRow
-from tidemark.naming import Layout, Stream
+from tidemark.functions import fingerprint, quality
+from tidemark.functions.projection import MappingRow, Projection, field
+from tidemark.naming import Stream, place
 from tidemark.operators import registry, sequencing, upsert
 from tidemark.sources import landing
 
 
-@pytest.mark.parametrize("token", ["", "null", " N/A ", "na", "-", "#n/a", "(Null)", "none"])
+@pytest.mark.parametrize("token", ["", "null", " N/A ", "na", "-", "#n/a", "(Null)", "none", None])
 def test_null_tokens(spark, token):
-    assert spark.createDataFrame([(token,)], "c string").selectExpr(f"{hashing.norm_expr('c')} v").first().v is None
+    assert spark.createDataFrame([(token,)], "c string").select(fingerprint.cleaned(F.col("c")).alias("v")).first().v is None
 
 
 def test_norm_keeps_case_and_tabs(spark):
-    got = spark.createDataFrame([(" Ab ",), ("\tx",)], "c string").selectExpr(f"{hashing.norm_expr('c')} v").collect()
+    got = spark.createDataFrame([(" Ab ",), ("\tx",)], "c string").select(fingerprint.cleaned(F.col("c")).alias("v")).collect()
     assert [r.v for r in got] == ["Ab", "\tx"]
 
 
 def test_hash_ignores_column_order_and_tells_null_from_text(spark):
-    assert hashing.row_hash_expr(["b", "a"]) == hashing.row_hash_expr(["a", "b"])
-    rows = spark.createDataFrame([(None, "x"), ("\\x00", "x"), ("N/A", "x")], "a string, `b``c` string").selectExpr(f"{hashing.row_hash_expr(['a', 'b`c'])} h").collect()
-    assert rows[0].h == rows[2].h != rows[1].h
+    rows = spark.createDataFrame([(None, "x"), ("\\x00", "x"), ("N/A", "x")], "a string, `b``c` string")
+    one, other = (rows.select(fingerprint.of_row(names).alias("h")).collect() for names in (["a", "b`c"], ["b`c", "a"]))
+    assert one == other and one[0].h == one[2].h != one[1].h
     with pytest.raises(ValueError):
-        hashing.canon_expr([])
-    assert hashing.schema_version(["b", "a"]) == hashing.schema_version(["a", "b"])
-    assert hashing.quote_literal("a'b\\c") == "'a\\'b\\\\c'"
+        fingerprint.canonical([])
+    assert fingerprint.of_header(["b", "a"]) == fingerprint.of_header(["a", "b"])
 
 
 ROWS = [
@@ -45,30 +44,33 @@ ROWS = [
 def test_select_plan(spark):
     data = [("T1", '{"K_NO":"D1","CHANGED_ON":"31.12.2025"}'), ("T1", '{"K_NUMBER":"D2"}'), ("T2", '{"ID":"D1","CHANGED_ON":"2025-12-31"}'), ("T1", '{"OTHER":"x"}'), ("T9", '{"ID":"D1"}')]
     b = spark.createDataFrame(data, "tenant_id string, j string").select("tenant_id", F.parse_json("j").alias("payload"))
-    plan = mapping.build_select(ROWS, ["key_id"])
-    assert plan.columns == ("key_id", "modified_ts", "entity_key")
-    got = b.selectExpr(*plan.expressions).collect()
+    columns = Projection(ROWS).columns(["key_id"])
+    got = b.select(*columns).collect()
+    assert b.select(*columns).columns == ["key_id", "modified_ts", "entity_key"]
     assert [r.key_id for r in got] == ["D1", "D2", "D1", None, None]
     assert got[0].modified_ts == got[2].modified_ts and got[0].entity_key != got[2].entity_key and got[3].entity_key is None
-    one = mapping.build_select(ROWS, ["key_id"], tenant="T2")
-    assert "CASE" not in one.expressions[0]
-    assert b.where("tenant_id='T2'").selectExpr(*one.expressions).first() == got[2]
+    one = b.where("tenant_id='T2'").select(*Projection(ROWS, "T2").columns(["key_id"]))
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in plan and "CHANGED_ON" in plan and "K_NO" not in plan
+    assert one.first() == got[2]
+    nobody = b.select(*Projection(ROWS, "T7").columns(["key_id"]))
+    assert nobody.dtypes == b.select(*columns).dtypes and not any(r.key_id or r.entity_key for r in nobody.collect())
 
 
 def test_mapping_errors(spark):
     with pytest.raises(ValueError):
-        mapping.variant_path("a'b")
+        field("a'b")
     with pytest.raises(ValueError):
-        mapping.target_type([MappingRow("a", "x", "g", "INT"), MappingRow("b", "x", "g", "STRING")])
+        Projection([MappingRow("a", "x", "g", "INT"), MappingRow("b", "x", "g", "STRING")]).kind("g")
     with pytest.raises(ValueError):
-        mapping.target_type([MappingRow("a", "x", "g", "INT); DROP")])
-    assert mapping.target_type([MappingRow("a", "x", "g", "decimal(10, 2)")]) == "DECIMAL(10, 2)"
+        Projection([MappingRow("a", "x", "g", "INT); DROP")]).kind("g")
+    assert Projection([MappingRow("a", "x", "g", "decimal(10, 2)")]).kind("g") == "DECIMAL(10, 2)"
     with pytest.raises(ValueError):
-        mapping.entity_key_expr(ROWS, ["other"])
+        Projection(ROWS).key(["other"])
     with pytest.raises(ValueError):
-        mapping.raw_expr([])
-    quoted = mapping.raw_expr([MappingRow("O'Neil", "A", "g")])
-    assert spark.createDataFrame([("O'Neil", '{"A":"1"}')], "tenant_id string, j string").select("tenant_id", F.parse_json("j").alias("payload")).selectExpr(f"{quoted} v").first().v == "1"
+        Projection([]).text("g")
+    quoted = Projection([MappingRow("O'Neil", "A", "g")]).text("g")
+    assert spark.createDataFrame([("O'Neil", '{"A":"1"}')], "tenant_id string, j string").select("tenant_id", F.parse_json("j").alias("payload")).select(quoted.alias("v")).first().v == "1"
 
 
 def test_quality(spark):
@@ -96,7 +98,7 @@ ENTITY = {
 
 
 def test_entity_definition():
-    assert config.parse_entity(ENTITY).stream.name == "erp__work_order"
+    assert config.parse_entity(ENTITY).stream == "erp__work_order" and config.parse_entity(ENTITY)["grain.business_key"] == ("object_id",)
 
 
 @pytest.mark.parametrize(
@@ -123,29 +125,28 @@ def test_mapping_file(tmp_path):
 
 
 def test_environment_and_folder(tmp_path):
-    assert config.parse_environment({"name": "dev", "catalog": "c", "schema_suffix": "x"}, "dev").schema_suffix == "x"
+    assert config.parse_environment({"name": "dev", "catalog": "c", "schema_suffix": "x"}, "dev")["schema_suffix"] == "x"
     with pytest.raises(config.ConfigError):
         config.parse_environment({"name": "dev", "catalog": "c"}, "prod")
     yaml = pytest.importorskip("yaml")
     (tmp_path / "a.yml").write_text(yaml.safe_dump(ENTITY))
-    assert list(config.load_entities(tmp_path)) == [Stream("erp", "work_order")]
+    assert list(config.load_entities(tmp_path)) == [Stream("erp__work_order")]
     (tmp_path / "b.yml").write_text(yaml.safe_dump(ENTITY))
     with pytest.raises(config.ConfigError):
         config.load_entities(tmp_path)
 
 
 def test_names():
-    s = Stream("erp", "work_order")
-    assert Stream.parse(s.name) == s
+    s = Stream("erp__work_order")
+    assert (s, s.source_system, s.entity) == ("erp__work_order", "erp", "work_order")
     for bad in ("erp", "a__b__c", "A__b"):
         with pytest.raises(ValueError):
-            Stream.parse(bad)
-    lay = Layout("cat", "_dev")
-    assert lay.silver(s) == "cat.silver_dev.erp__work_order" and Layout("cat", " ").schema("gold") == "gold"
+            Stream(bad)
+    assert place("silver", s, suffix="_dev", catalog="cat") == "cat.silver_dev.erp__work_order" and place("gold", suffix=" ") == "gold"
     with pytest.raises(ValueError):
-        lay.schema("iron")
+        place("iron")
     with pytest.raises(ValueError):
-        Layout("bad-name")
+        place("gold", catalog="bad-name")
 
 
 def at(minute):

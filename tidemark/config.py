@@ -1,171 +1,136 @@
-"""Declarations of entities, mappings and environments.  Unknown or missing keys are errors."""
+"""Declarations of entities, mappings and environments.
+
+A declaration is a tree of settings.  Each setting of an entity has a line in ``SETTINGS``
+that says what it may hold; unknown, missing and wrong settings are errors.
+"""
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping
-from dataclasses import dataclass, field
-from enum import StrEnum
+from collections.abc import Callable, Mapping
 from pathlib import Path
-from typing import Any
+from typing import Any, NamedTuple
 
-from .functions.mapping import MappingRow
+from .functions.projection import MappingRow
 from .naming import Stream
 from .sources.landing import parse_layout
 
 
-class Historisation(StrEnum):
-    SCD2 = "scd2"
-    CURRENT_ONLY = "current_only"
-    INSERT_ONLY = "insert_only"
-    APPEND = "append"
-    SNAPSHOT = "snapshot"
-
-
-class LoadMode(StrEnum):
-    FULL = "full"
-    DELTA = "delta"
-
-
-class SequencingSource(StrEnum):
-    FILE_MTIME = "file_mtime"
-    MANIFEST = "manifest"
-
-
-class NewColumnPolicy(StrEnum):
-    ACCEPT = "accept"
-    FAIL = "fail"
-
-
-class MissingKeyPolicy(StrEnum):
-    FAIL = "fail"
-    QUARANTINE = "quarantine"
-
-
-class OnViolation(StrEnum):
-    QUARANTINE = "quarantine"
-    DROP = "drop"
-    FAIL = "fail"
-
-
 class ConfigError(ValueError):
     """A declaration that cannot be used."""
 
 
-@dataclass(frozen=True)
-class Landing:
-    volume: str
-    path: str
-    layout: str
-    format: str
-    options: Mapping[str, str] = field(default_factory=dict)
-
-
-@dataclass(frozen=True)
-class Grain:
-    business_key: tuple[str, ...]
-    tenant_column: str
-
-
-@dataclass(frozen=True)
-class Sequencing:
-    source: SequencingSource
-    manifest_column: str | None = None
-
+Check = Callable[[Any], Any]
 
-@dataclass(frozen=True)
-class SchemaEvolution:
-    new_column: NewColumnPolicy
-    missing_business_key: MissingKeyPolicy
 
-
-@dataclass(frozen=True)
-class Quality:
-    required: tuple[str, ...]
-    on_violation: OnViolation
-
-
-@dataclass(frozen=True)
-class EntityDefinition:
-    stream: Stream
-    landing: Landing
-    grain: Grain
-    historisation: Historisation
-    sequencing: Sequencing
-    schema_evolution: SchemaEvolution
-    quality: Quality
-
-
-@dataclass(frozen=True)
-class Environment:
-    name: str
-    catalog: str
-    schema_suffix: str = ""
-
-
-def _section(data: Any, where: str, required: tuple[str, ...], optional: tuple[str, ...] = ()) -> dict:
-    if not isinstance(data, Mapping):
-        raise ConfigError(f"{where}: not a mapping")
-    if missing := [k for k in required if k not in data]:
-        raise ConfigError(f"{where}: missing {missing}")
-    if unknown := sorted(set(data) - {*required, *optional}):
-        raise ConfigError(f"{where}: unknown {unknown}")
-    return dict(data)
+def _text(value: Any) -> str:
+    if not isinstance(value, str) or not value.strip():
+        raise ValueError("not a text")
+    return value
 
 
-def _text(value: Any, where: str) -> str:
-    if not isinstance(value, str) or not value.strip():
-        raise ConfigError(f"{where}: not a text")
+def _layout(value: Any) -> str:
+    parse_layout(_text(value))
     return value
 
 
-def _texts(value: Any, where: str, empty: bool = False) -> tuple[str, ...]:
-    if not isinstance(value, list) or not (value or empty):
-        raise ConfigError(f"{where}: not a list with entries")
-    found = tuple(_text(v, where) for v in value)
-    if len(set(found)) != len(found):
-        raise ConfigError(f"{where}: repeated entries")
-    return found
+def _texts(least: int) -> Check:
+    def check(value: Any) -> tuple[str, ...]:
+        if not isinstance(value, list) or len(value) < least:
+            raise ValueError(f"not a list of {least} or more entries")
+        if len(found := tuple(map(_text, value))) != len(set(found)):
+            raise ValueError("repeated entries")
+        return found
+
+    return check
+
+
+def _one_of(*allowed: str) -> Check:
+    def check(value: Any) -> str:
+        if value not in allowed:
+            raise ValueError(f"{value!r} is none of {allowed}")
+        return value
+
+    return check
+
+
+def _options(value: Any) -> dict[str, str]:
+    if not isinstance(value, Mapping):
+        raise ValueError("not a mapping")
+    return {str(k): str(v) for k, v in value.items()}
+
+
+#: What an entity declares.  A question mark marks what may be left out.
+SETTINGS: dict[str, Check] = {
+    "source_system": _text,
+    "entity": _text,
+    "landing.volume": _text,
+    "landing.path": _text,
+    "landing.layout": _layout,
+    "landing.format": _text,
+    "landing.options?": _options,
+    "grain.business_key": _texts(1),
+    "grain.tenant_column": _text,
+    "historisation": _one_of("scd2", "current_only", "insert_only", "append", "snapshot"),
+    "sequencing.source": _one_of("file_mtime", "manifest"),
+    "sequencing.manifest_column?": _text,
+    "schema_evolution.new_column": _one_of("accept", "fail"),
+    "schema_evolution.missing_business_key": _one_of("fail", "quarantine"),
+    "quality.required": _texts(0),
+    "quality.on_violation": _one_of("quarantine", "drop", "fail"),
+    "event_time?": _text,
+}
+ENVIRONMENT: dict[str, Check] = {"name": _text, "catalog": _text, "schema_suffix?": lambda value: str(value or "")}
+_FREE = {k.rstrip("?") for k, check in SETTINGS.items() if check is _options}
+
+
+def _flat(tree: Any, above: str = "") -> dict[str, Any]:
+    """The leaves of a tree by their dotted path; free-form settings are leaves."""
+    if not isinstance(tree, Mapping):
+        raise ConfigError(f"{above or 'declaration'}: not a mapping")
+    out: dict[str, Any] = {}
+    for key, value in tree.items():
+        path = f"{above}.{key}" if above else str(key)
+        out |= _flat(value, path) if isinstance(value, Mapping) and path not in _FREE else {path: value}
+    return out
+
+
+def settle(tree: Any, table: Mapping[str, Check]) -> dict[str, Any]:
+    """The checked settings of a declaration by their dotted path; what was left out is None."""
+    given = {k: v for k, v in _flat(tree).items() if not (v is None and f"{k}?" in table)}
+    known = {k.rstrip("?"): k.endswith("?") for k in table}
+    if unknown := sorted(set(given) - set(known)):
+        raise ConfigError(f"unknown or not of this shape: {unknown}")
+    if missing := sorted(k for k, free in known.items() if not free and k not in given):
+        raise ConfigError(f"missing: {missing}")
+    out: dict[str, Any] = dict.fromkeys(known)
+    for path, value in given.items():
+        try:
+            out[path] = table[path if path in table else f"{path}?"](value)
+        except ValueError as e:
+            raise ConfigError(f"{path}: {e}") from None
+    return out
+
+
+class Entity(NamedTuple):
+    """One declared entity: ``entity["landing.layout"]`` is a setting."""
 
+    stream: Stream
+    settings: dict[str, Any]
 
-def _choice(kind: type[StrEnum], value: Any, where: str):
-    try:
-        return kind(value)
-    except ValueError:
-        raise ConfigError(f"{where}: {value!r} is none of {[str(x) for x in kind]}") from None
+    def __getitem__(self, path):  # type: ignore[override]
+        return self.settings[path] if isinstance(path, str) else tuple.__getitem__(self, path)
 
 
-def parse_entity(data: Any) -> EntityDefinition:
+def parse_entity(data: Any) -> Entity:
     """An entity from its parsed YAML."""
-    top = _section(data, "entity", ("source_system", "entity", "landing", "grain", "historisation", "sequencing", "schema_evolution", "quality"))
-    landing = _section(top["landing"], "landing", ("volume", "path", "layout", "format"), ("options",))
-    grain = _section(top["grain"], "grain", ("business_key", "tenant_column"))
-    order = _section(top["sequencing"], "sequencing", ("source",), ("manifest_column",))
-    drift = _section(top["schema_evolution"], "schema_evolution", ("new_column", "missing_business_key"))
-    quality = _section(top["quality"], "quality", ("required", "on_violation"))
-    source = _choice(SequencingSource, order["source"], "sequencing.source")
-    manifest = order.get("manifest_column")
-    if (source is SequencingSource.MANIFEST) != bool(manifest):
+    found = settle(data, SETTINGS)
+    if (found["sequencing.source"] == "manifest") != bool(found["sequencing.manifest_column"]):
         raise ConfigError("sequencing: a manifest column belongs to the manifest source, and only to it")
     try:
-        stream = Stream(_text(top["source_system"], "source_system"), _text(top["entity"], "entity"))
-        parse_layout(_text(landing["layout"], "landing.layout"))
-    except ConfigError:
-        raise
+        return Entity(Stream(f"{found['source_system']}__{found['entity']}"), found)
     except ValueError as e:
         raise ConfigError(str(e)) from None
-    options = landing.get("options") or {}
-    if not isinstance(options, Mapping):
-        raise ConfigError("landing.options: not a mapping")
-    return EntityDefinition(
-        stream,
-        Landing(*(_text(landing[k], f"landing.{k}") for k in ("volume", "path", "layout", "format")), {str(k): str(v) for k, v in options.items()}),
-        Grain(_texts(grain["business_key"], "grain.business_key"), _text(grain["tenant_column"], "grain.tenant_column")),
-        _choice(Historisation, top["historisation"], "historisation"),
-        Sequencing(source, manifest),
-        SchemaEvolution(_choice(NewColumnPolicy, drift["new_column"], "schema_evolution.new_column"), _choice(MissingKeyPolicy, drift["missing_business_key"], "schema_evolution.missing_business_key")),
-        Quality(_texts(quality["required"], "quality.required", empty=True), _choice(OnViolation, quality["on_violation"], "quality.on_violation")),
-    )
 
 
 def read_yaml(path: Path) -> Any:
@@ -179,66 +144,73 @@ def read_yaml(path: Path) -> Any:
         raise ConfigError(f"{path.name}: {e}") from None
 
 
-def load_entities(folder: Path) -> dict[Stream, EntityDefinition]:
+def load_entities(folder: Path) -> dict[Stream, Entity]:
     """All ``*.yml`` entities of a folder; two for one stream are an error."""
-    found: dict[Stream, EntityDefinition] = {}
+    found: dict[Stream, Entity] = {}
     for path in sorted([*folder.glob("*.yml"), *folder.glob("*.yaml")]):
         entity = parse_entity(read_yaml(path))
         if entity.stream in found:
-            raise ConfigError(f"{path.name}: {entity.stream.name} is declared twice")
+            raise ConfigError(f"{path.name}: {entity.stream} is declared twice")
         found[entity.stream] = entity
     return found
 
 
-MAPPING_HEADER = ("tenant", "source_column", "generic_column", "target_type", "parse_format", "precedence", "is_business_key", "is_promoted")
+MAPPING_HEADER = MappingRow._fields
+
+
+def _flag(value: str) -> bool:
+    return _one_of("true", "false")(value.strip().lower()) == "true"
+
+
+def _number(value: str) -> int:
+    if not value.strip().isdigit():
+        raise ValueError("not a number")
+    return int(value)
 
 
-def _flag(value: str, where: str) -> bool:
-    if value.strip().lower() not in ("true", "false"):
-        raise ConfigError(f"{where}: {value!r} is neither true nor false")
-    return value.strip().lower() == "true"
+#: How the cells of a mapping file are read.
+CELLS: dict[str, Check] = {
+    "tenant": lambda v: _text(v).strip(),
+    "source_column": lambda v: _text(v).strip(),
+    "generic_column": lambda v: v.strip() or None,
+    "target_type": lambda v: (v.strip() or "STRING").upper(),
+    "parse_format": lambda v: v.strip() or None,
+    "precedence": _number,
+    "is_business_key": _flag,
+    "is_promoted": _flag,
+}
 
 
 def load_column_mapping(path: Path) -> tuple[MappingRow, ...]:
     """The mapping rows of a CSV file with exactly the columns of ``MAPPING_HEADER``."""
     with path.open(encoding="utf-8", newline="") as f:
-        reader = csv.DictReader(f)
-        if tuple(reader.fieldnames or ()) != MAPPING_HEADER:
-            raise ConfigError(f"{path.name}: the header must be {','.join(MAPPING_HEADER)}")
-        rows, seen = [], set()
-        for line in reader:
-            where = f"{path.name}:{reader.line_num}"
-            if None in line or None in line.values():
-                raise ConfigError(f"{where}: wrong number of cells")
-            tenant, source = (_text(line[k], f"{where}.{k}").strip() for k in ("tenant", "source_column"))
-            if (tenant, source) in seen:
-                raise ConfigError(f"{where}: {tenant}.{source} is mapped twice")
-            seen.add((tenant, source))
-            if not line["precedence"].strip().isdigit():
-                raise ConfigError(f"{where}: precedence is not a number")
-            rows.append(
-                MappingRow(
-                    tenant,
-                    source,
-                    line["generic_column"].strip() or None,
-                    (line["target_type"].strip() or "STRING").upper(),
-                    line["parse_format"].strip() or None,
-                    int(line["precedence"]),
-                    _flag(line["is_business_key"], where),
-                    _flag(line["is_promoted"], where),
-                )
-            )
+        lines = list(csv.reader(f))
+    if not lines or tuple(lines[0]) != MAPPING_HEADER:
+        raise ConfigError(f"{path.name}: the header must be {','.join(MAPPING_HEADER)}")
+    rows: dict[tuple[str, str], MappingRow] = {}
+    for n, line in enumerate(lines[1:], 2):
+        if not line:
+            continue
+        if len(line) != len(MAPPING_HEADER):
+            raise ConfigError(f"{path.name}, line {n}: wrong number of cells")
+        try:
+            row = MappingRow(*(CELLS[name](value) for name, value in zip(MAPPING_HEADER, line, strict=True)))
+        except ValueError as e:
+            raise ConfigError(f"{path.name}, line {n}: {e}") from None
+        if rows.setdefault(row[:2], row) is not row:
+            raise ConfigError(f"{path.name}, line {n}: {row.tenant}.{row.source_column} is mapped twice")
     if not rows:
         raise ConfigError(f"{path.name}: no mappings")
-    return tuple(rows)
+    return tuple(rows.values())
 
 
-def parse_environment(data: Any, expected: str) -> Environment:
-    top = _section(data, "environment", ("name", "catalog"), ("schema_suffix",))
-    if top["name"] != expected:
-        raise ConfigError(f"environment {top['name']!r} in a file named {expected!r}")
-    return Environment(_text(top["name"], "name"), _text(top["catalog"], "catalog"), str(top.get("schema_suffix") or ""))
+def parse_environment(data: Any, expected: str) -> dict[str, Any]:
+    """``name, catalog, schema_suffix`` of an environment, whose name must be that of its file."""
+    found = settle(data, ENVIRONMENT)
+    if found["name"] != expected:
+        raise ConfigError(f"environment {found['name']!r} in a file named {expected!r}")
+    return found | {"schema_suffix": found["schema_suffix"] or ""}
 
 
-def load_environment(path: Path) -> Environment:
+def load_environment(path: Path) -> dict[str, Any]:
     return parse_environment(read_yaml(path), path.stem)

@@ -1 +1 @@
-"""Column functions: hashing, mapping, data quality."""
+"""Column functions: fingerprints, projection, data quality."""

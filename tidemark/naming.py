@@ -1,72 +1,37 @@
-"""Streams and where their tables live."""
+"""Names of streams and of the places where their tables live."""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
-NAME = re.compile(r"[a-z][a-z0-9]*(_[a-z0-9]+)*")
 LAYERS = ("bronze", "silver", "gold", "meta")
+_WORD = r"[a-z][a-z0-9]*(?:_[a-z0-9]+)*"
+_STREAM = re.compile(rf"({_WORD})__({_WORD})")
 
 
-@dataclass(frozen=True, order=True)
-class Stream:
-    """One entity of one source system: the unit of ingest, order and failure."""
+class Stream(str):
+    """One entity of one source system, written ``system__entity``: the unit of ingest, order and failure."""
 
     source_system: str
     entity: str
 
-    def __post_init__(self):
-        for part in (self.source_system, self.entity):
-            if not NAME.fullmatch(part):
-                raise ValueError(f"not a valid name: {part!r}")
-
-    @property
-    def name(self) -> str:
-        return f"{self.source_system}__{self.entity}"
-
-    @classmethod
-    def parse(cls, name: str) -> Stream:
-        parts = name.split("__")
-        if len(parts) != 2:
+    def __new__(cls, name: str):
+        found = _STREAM.fullmatch(name)
+        if not found:
             raise ValueError(f"not a stream name: {name!r}")
-        return cls(*parts)
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Databases of the layers and folders of landed files; a suffix keeps developers apart."""
-
-    catalog: str
-    schema_suffix: str = ""
-
-    def __post_init__(self):
-        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", self.catalog):
-            raise ValueError(f"not a valid catalog: {self.catalog!r}")
-
-    def schema(self, layer: str) -> str:
-        if layer not in LAYERS:
-            raise ValueError(f"unknown layer: {layer!r}")
-        suffix = self.schema_suffix.strip().lstrip("_")
-        return f"{layer}_{suffix}" if suffix else layer
-
-    def qualify(self, layer: str, table: str) -> str:
-        return f"{self.catalog}.{self.schema(layer)}.{table}"
-
-    def bronze(self, stream: Stream) -> str:
-        return self.qualify("bronze", stream.name)
-
-    def silver(self, stream: Stream) -> str:
-        return self.qualify("silver", stream.name)
-
-    def gold(self, stream: Stream, view: str) -> str:
-        return self.qualify("gold", f"{stream.name}_{view}")
-
-    def meta(self, table: str) -> str:
-        return self.qualify("meta", table)
-
-    def volume(self, name: str) -> str:
-        return f"{self.catalog}/{self.schema('bronze')}/{name}"
-
-    def landing_path(self, root: str, volume: str, path: str) -> str:
-        return "/".join(p.strip("/") if i else p.rstrip("/") for i, p in enumerate((root, self.volume(volume), path)))
+        made = super().__new__(cls, name)
+        made.source_system, made.entity = found.groups()
+        return made
+
+
+def place(layer: str, what: str = "", *, suffix: str = "", catalog: str = "") -> str:
+    """``catalog.layer_suffix.what``, without the parts that are not given.
+
+    A suffix keeps the databases of a developer apart from the shared ones.
+    """
+    if layer not in LAYERS:
+        raise ValueError(f"unknown layer: {layer!r}")
+    if catalog and not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", catalog):
+        raise ValueError(f"not a valid catalog: {catalog!r}")
+    suffix = suffix.strip().lstrip("_")
+    return ".".join(p for p in (catalog, f"{layer}_{suffix}" if suffix else layer, what) if p)

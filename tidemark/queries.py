@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import GONE
-from .functions import cleaning, hashing, mapping, quality
+from .functions import cleaning, quality
+from .functions import fingerprint as prints
+from .functions.projection import Projection, field, load_release as catalog_at
 from .operators import cdc, gold, incremental, policies, reconcile, registry, scd2, sequencing, upsert
 from .plans import silver, storage
 from .sources import landing
@@ -140,7 +142,7 @@ def bronze_append(spark, sf):
 
 @query(f"WITH {CUSTOMER_SQL} SELECT c_custkey, n_name, n_segment FROM normed")
 def norm_tokens(spark, sf):
-    return customer_rows(spark, sf).selectExpr("c_custkey", f"{hashing.norm_expr('c_name')} AS n_name", f"{hashing.norm_expr('c_mktsegment')} AS n_segment")
+    return customer_rows(spark, sf).select("c_custkey", prints.cleaned(F.col("c_name")).alias("n_name"), prints.cleaned(F.col("c_mktsegment")).alias("n_segment"))
 
 
 _CANON = "to_json({'c_mktsegment': coalesce(n_segment, chr(0)), 'c_name': coalesce(n_name, chr(0))})::VARCHAR"
@@ -148,18 +150,18 @@ _CANON = "to_json({'c_mktsegment': coalesce(n_segment, chr(0)), 'c_name': coales
 
 @query(f"WITH {CUSTOMER_SQL} SELECT c_custkey, {_CANON} AS canon FROM normed")
 def canon_json(spark, sf):
-    return customer_rows(spark, sf).selectExpr("c_custkey", f"{hashing.canon_expr(['c_name', 'c_mktsegment'])} AS canon")
+    return customer_rows(spark, sf).select("c_custkey", prints.canonical(["c_name", "c_mktsegment"]).alias("canon"))
 
 
 @query(f"WITH {CUSTOMER_SQL} SELECT c_custkey, sha256({_CANON}) AS row_hash FROM normed")
 def row_hash(spark, sf):
-    return customer_rows(spark, sf).selectExpr("c_custkey", f"{hashing.row_hash_expr(['c_name', 'c_mktsegment'])} AS row_hash")
+    return customer_rows(spark, sf).select("c_custkey", prints.of_row(["c_name", "c_mktsegment"]).alias("row_hash"))
 
 
 @query("SELECT sha256('c_acctbal|c_custkey|c_mktsegment|c_name|c_nationkey') AS schema_ver, count(*) AS n FROM customer")
 def schema_ver(spark, sf):
     c = table(spark, sf, "customer")
-    return c.agg(F.count("*").alias("n")).select(F.lit(hashing.schema_version(c.columns)).alias("schema_ver"), "n")
+    return c.agg(F.count("*").alias("n")).select(F.lit(prints.of_header(c.columns)).alias("schema_ver"), "n")
 
 
 # ---- payloads and mappings ----------------------------------------------------------
@@ -170,13 +172,13 @@ def payload_build(spark, sf):
     rows = order_rows(spark, sf)
     built = rows.select("o_orderkey", F.parse_json(F.to_json(F.struct(*ORDER_COLUMNS, F.col("amount_p").alias("amount")))).alias("payload"))
     keys = F.size(F.expr("json_object_keys(to_json(payload))"))
-    return built.select("o_orderkey", keys.alias("n_keys"), F.coalesce(*[F.expr(mapping.source_expr(c)) for c in ("K_NO", "K_NUMBER", "ID", "key")]).alias("object_id"))
+    return built.select("o_orderkey", keys.alias("n_keys"), F.coalesce(*[field(c) for c in ("K_NO", "K_NUMBER", "ID", "key")]).alias("object_id"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def payload_extract(spark, sf):
     rows = table(spark, sf, "events").select("event_id", F.parse_json("props").alias("payload"))
-    return rows.select("event_id", F.expr(mapping.source_expr("k")).alias("k"))
+    return rows.select("event_id", field("k").alias("k"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE try_cast(json_extract_string(props, '$.k') AS INTEGER) > 50")
@@ -185,42 +187,36 @@ def payload_filter(spark, sf):
     return rows.where("try_variant_get(payload, '$.k', 'INT') > 50").select("event_id", "user_id")
 
 
-def _rows_for(generic: str):
-    return [r for r in ORDER_MAPPING if r.generic_column == generic]
-
-
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, object_id, raw_amount, priority FROM typed")
 def map_raw(spark, sf):
     b = order_bronze(spark, sf)
-    return b.select("o_orderkey", *[F.expr(mapping.raw_expr(_rows_for(g))).alias(n) for g, n in (("object_id", "object_id"), ("amount", "raw_amount"), ("priority", "priority"))])
+    return b.select("o_orderkey", *[Projection(ORDER_MAPPING).text(g).alias(n) for g, n in (("object_id", "object_id"), ("amount", "raw_amount"), ("priority", "priority"))])
 
 
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, strftime(modified_ts, {STAMP}) AS modified_ts FROM typed")
 def map_timestamp(spark, sf):
-    return order_bronze(spark, sf).select("o_orderkey", moment(F.expr(mapping.typed_expr(_rows_for("modified_ts")))).alias("modified_ts"))
+    return order_bronze(spark, sf).select("o_orderkey", moment(Projection(ORDER_MAPPING).value("modified_ts")).alias("modified_ts"))
 
 
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, amount FROM typed")
 def map_cast(spark, sf):
-    return order_bronze(spark, sf).select("o_orderkey", F.expr(mapping.typed_expr(_rows_for("amount"))).alias("amount"))
+    return order_bronze(spark, sf).select("o_orderkey", Projection(ORDER_MAPPING).value("amount").alias("amount"))
 
 
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, entity_key FROM typed")
 def entity_key(spark, sf):
-    return order_bronze(spark, sf).select("o_orderkey", F.expr(mapping.entity_key_expr(ORDER_MAPPING, ORDER_GRAIN)).alias("entity_key"))
+    return order_bronze(spark, sf).select("o_orderkey", Projection(ORDER_MAPPING).key(ORDER_GRAIN).alias("entity_key"))
 
 
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, amount, strftime(modified_ts, {STAMP}) AS modified_ts, object_id, priority, entity_key FROM typed")
 def map_select(spark, sf):
-    plan = mapping.build_select(ORDER_MAPPING, ORDER_GRAIN)
-    rows = order_bronze(spark, sf).selectExpr("o_orderkey", *plan.expressions)
+    rows = order_bronze(spark, sf).select("o_orderkey", *Projection(ORDER_MAPPING).columns(ORDER_GRAIN))
     return rows.withColumn("modified_ts", moment("modified_ts"))
 
 
 @query(f"WITH {ORDERS_SQL} SELECT o_orderkey, amount, entity_key FROM typed WHERE tenant_id = 'O'")
 def map_select_one_tenant(spark, sf):
-    plan = mapping.build_select(ORDER_MAPPING, ORDER_GRAIN, tenant="O")
-    return order_bronze(spark, sf).where("tenant_id = 'O'").selectExpr("o_orderkey", *plan.expressions).select("o_orderkey", "amount", "entity_key")
+    return order_bronze(spark, sf).where("tenant_id = 'O'").select("o_orderkey", *Projection(ORDER_MAPPING, "O").columns(ORDER_GRAIN)).select("o_orderkey", "amount", "entity_key")
 
 
 _CATALOG = [
@@ -251,7 +247,7 @@ _RELEASES_SQL = "releases(mapping_ver, released_at) AS (VALUES " + ", ".join(f"(
 @query(f"WITH {_CATALOG_SQL}, {_RELEASES_SQL} SELECT r.mapping_ver, tenant, source_column, generic_column FROM catalog c JOIN releases r ON c.recorded_at <= r.released_at AND c.superseded_at > r.released_at")
 def load_release(spark, sf):
     catalog, releases = _catalog(spark), _releases(spark)
-    parts = [mapping.load_release(catalog, releases, v).select(F.lit(v).alias("mapping_ver"), "tenant", "source_column", "generic_column") for v, _ in _RELEASES]
+    parts = [catalog_at(catalog, releases, v).select(F.lit(v).alias("mapping_ver"), "tenant", "source_column", "generic_column") for v, _ in _RELEASES]
     return parts[0].union(parts[1]).union(parts[2])
 
 
@@ -372,7 +368,7 @@ def meta_scd2(spark, sf):
 
 def _checked(spark, sf):
     staged = silver.stage(order_bronze(spark, sf), ORDER_MAPPING, ORDER_GRAIN)
-    raw = F.expr(mapping.raw_expr(_rows_for("amount")))
+    raw = Projection(ORDER_MAPPING).text("amount")
     return staged.withColumn("_cast_failures", quality.cast_failures({"amount": (F.col("amount"), raw)})).withColumn("raw_amount", raw)
 
 
@@ -601,20 +597,29 @@ def build_cursor(spark, sf):
 
 
 def _extracts(spark, sf):
-    """Events of one tenant as numbered extracts, a day each."""
-    return staged_events(spark, sf).where("tenant_id = 'click'").select("entity_key", F.col("bucket").cast("string").alias("attr"), F.dayofmonth("_ingest_ts").alias("extract_seq"), F.col("_load_mode").alias("load_mode"), "_ingest_seq")
+    """Events as numbered extracts of each tenant, a day each."""
+    rows = staged_events(spark, sf)
+    return rows.select("tenant_id", "entity_key", F.col("bucket").cast("string").alias("attr"), F.dayofmonth("_ingest_ts").alias("extract_seq"), F.col("_load_mode").alias("load_mode"))
 
 
-_EXTRACTS_SQL = STAGED_SQL + ", ex AS (SELECT entity_key, bucket::VARCHAR AS attr, day(_ingest_ts)::INTEGER AS extract_seq, _load_mode AS load_mode, _ingest_seq FROM staged WHERE tenant_id = 'click')"
-_FEED_SQL = _EXTRACTS_SQL + """, fulls AS (SELECT DISTINCT extract_seq FROM ex WHERE load_mode = 'full'),
-feed AS (SELECT entity_key, attr, extract_seq AS seq, 'UPSERT' AS op FROM ex UNION ALL
-  SELECT DISTINCT k.entity_key, NULL, f.extract_seq, 'DELETE' FROM fulls f JOIN (SELECT DISTINCT entity_key, extract_seq FROM ex) k ON k.extract_seq < f.extract_seq
-  WHERE NOT EXISTS (SELECT 1 FROM ex e WHERE e.entity_key = k.entity_key AND e.extract_seq = f.extract_seq))"""
+_FEED_KEYS = ["tenant_id", "entity_key"]
 
 
-@query(f"WITH {_FEED_SQL} SELECT entity_key, attr, seq, op FROM feed")
+def _feed(spark, sf):
+    """The feed of all tenants, each with full extracts of its own."""
+    return cdc.change_feed(_extracts(spark, sf), _FEED_KEYS, ["attr"], within=["tenant_id"])
+
+
+_FEED_SQL = STAGED_SQL + """, ex AS (SELECT tenant_id, entity_key, bucket::VARCHAR AS attr, day(_ingest_ts)::INTEGER AS extract_seq, _load_mode AS load_mode FROM staged),
+fulls AS (SELECT DISTINCT tenant_id, extract_seq FROM ex WHERE load_mode = 'full'),
+feed AS (SELECT tenant_id, entity_key, attr, extract_seq AS seq, 'UPSERT' AS op FROM ex UNION ALL
+  SELECT DISTINCT k.tenant_id, k.entity_key, NULL, f.extract_seq, 'DELETE' FROM fulls f JOIN (SELECT DISTINCT tenant_id, entity_key, extract_seq FROM ex) k ON k.tenant_id = f.tenant_id AND k.extract_seq < f.extract_seq
+  WHERE NOT EXISTS (SELECT 1 FROM ex e WHERE e.tenant_id = k.tenant_id AND e.entity_key = k.entity_key AND e.extract_seq = f.extract_seq))"""
+
+
+@query(f"WITH {_FEED_SQL} SELECT tenant_id, entity_key, attr, seq, op FROM feed")
 def change_feed(spark, sf):
-    return cdc.change_feed(_extracts(spark, sf), ["entity_key"], ["attr"])
+    return _feed(spark, sf)
 
 
 @query(f"WITH {DELETED_SQL} SELECT tenant_id, entity_key, _ingest_seq, _row_hash, 'UPSERT' AS op FROM staged UNION ALL SELECT tenant_id, entity_key, _ingest_seq, _row_hash, 'DELETE' FROM tomb")
@@ -627,46 +632,25 @@ def change_feed_profile(spark, sf):
     return cdc.staged_feed(staged_events(spark, sf)).groupBy("op", "_load_mode").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_FEED_SQL} SELECT entity_key, seq, count(*) AS n FROM feed GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH {_FEED_SQL} SELECT tenant_id, entity_key, seq, count(*) AS n FROM feed GROUP BY ALL HAVING count(*) > 1")
 def cdc_dupes(spark, sf):
-    feed = cdc.change_feed(_extracts(spark, sf), ["entity_key"], ["attr"])
-    return feed.groupBy("entity_key", "seq").agg(F.count("*").alias("n")).where("n > 1")
+    return _feed(spark, sf).groupBy(*_FEED_KEYS, "seq").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query(
-    f"""WITH {_FEED_SQL}, once AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY entity_key, seq ORDER BY op = 'DELETE' DESC, attr DESC) = 1),
-    w AS (SELECT *, lag(op) OVER p AS pop, lag(attr) OVER p AS pattr FROM once WINDOW p AS (PARTITION BY entity_key ORDER BY seq)),
+    f"""WITH {_FEED_SQL}, once AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY tenant_id, entity_key, seq ORDER BY op = 'DELETE' DESC, attr DESC) = 1),
+    w AS (SELECT *, lag(op) OVER p AS pop, lag(attr) OVER p AS pattr FROM once WINDOW p AS (PARTITION BY tenant_id, entity_key ORDER BY seq)),
     c AS (SELECT * FROM w WHERE CASE WHEN pop IS NULL THEN op = 'UPSERT' ELSE op <> pop OR (op = 'UPSERT' AND attr <> pattr) END),
-    r AS (SELECT *, lead(seq) OVER (PARTITION BY entity_key ORDER BY seq) AS e FROM c)
-    SELECT entity_key, attr, seq AS "__START_AT", e AS "__END_AT" FROM r WHERE op = 'UPSERT'"""
+    r AS (SELECT *, lead(seq) OVER (PARTITION BY tenant_id, entity_key ORDER BY seq) AS e FROM c)
+    SELECT tenant_id, entity_key, attr, seq AS "__START_AT", e AS "__END_AT" FROM r WHERE op = 'UPSERT'"""
 )
 def cdc_scd2(spark, sf):
-    feed = cdc.change_feed(_extracts(spark, sf), ["entity_key"], ["attr"])
-    return cdc.apply_changes(feed, ["entity_key"])
+    return cdc.apply_changes(_feed(spark, sf), _FEED_KEYS)
 
 
-@query(f"WITH {_FEED_SQL}, l AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY seq DESC, op = 'DELETE' DESC, attr DESC) = 1) SELECT entity_key, attr FROM l WHERE op = 'UPSERT'")
+@query(f"WITH {_FEED_SQL}, l AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY tenant_id, entity_key ORDER BY seq DESC, op = 'DELETE' DESC, attr DESC) = 1) SELECT tenant_id, entity_key, attr FROM l WHERE op = 'UPSERT'")
 def cdc_scd1(spark, sf):
-    feed = cdc.change_feed(_extracts(spark, sf), ["entity_key"], ["attr"])
-    return cdc.apply_changes(feed, ["entity_key"], scd_type=1)
-
-
-def _tenant_feed(spark, sf):
-    """The feed of all tenants, each with full extracts of its own."""
-    rows = staged_events(spark, sf).select("tenant_id", "entity_key", F.col("bucket").cast("string").alias("attr"), F.dayofmonth("_ingest_ts").alias("extract_seq"), F.col("_load_mode").alias("load_mode"))
-    return cdc.change_feed(rows, ["tenant_id", "entity_key"], ["attr"], within=["tenant_id"])
-
-
-_TENANT_FEED_SQL = STAGED_SQL + """, ex AS (SELECT tenant_id, entity_key, bucket::VARCHAR AS attr, day(_ingest_ts)::INTEGER AS extract_seq, _load_mode AS load_mode FROM staged),
-fulls AS (SELECT DISTINCT tenant_id, extract_seq FROM ex WHERE load_mode = 'full'),
-feed AS (SELECT tenant_id, entity_key, attr, extract_seq AS seq, 'UPSERT' AS op FROM ex UNION ALL
-  SELECT DISTINCT k.tenant_id, k.entity_key, NULL, f.extract_seq, 'DELETE' FROM fulls f JOIN (SELECT DISTINCT tenant_id, entity_key, extract_seq FROM ex) k ON k.tenant_id = f.tenant_id AND k.extract_seq < f.extract_seq
-  WHERE NOT EXISTS (SELECT 1 FROM ex e WHERE e.tenant_id = k.tenant_id AND e.entity_key = k.entity_key AND e.extract_seq = f.extract_seq))"""
-
-
-@query(f"WITH {_TENANT_FEED_SQL} SELECT tenant_id, entity_key, attr, seq, op FROM feed")
-def change_feed_tenants(spark, sf):
-    return _tenant_feed(spark, sf)
+    return cdc.apply_changes(_feed(spark, sf), _FEED_KEYS, scd_type=1)
 
 
 # ---- proofs -------------------------------------------------------------------------
@@ -709,7 +693,7 @@ def rebuild_compare(spark, sf):
     parts = []
     for release, rows in ((2, ORDER_MAPPING), (1, [r for r in ORDER_MAPPING if r.generic_column != "priority"])):
         built = silver.build(bronze, rows, ORDER_GRAIN, mapping_ver=release)
-        n = len(mapping.build_select(rows, ORDER_GRAIN).columns)
+        n = len(Projection(rows).columns(ORDER_GRAIN))
         parts.append(built.agg(F.count("*").alias("versions"), F.countDistinct("entity_key").alias("entities")).select(F.lit(release).alias("release"), "versions", "entities", F.lit(n).alias("n_generic")))
     return parts[0].union(parts[1])
 
@@ -748,24 +732,12 @@ def incremental_merge(spark, sf):
     return _shown(incremental.merge_slice(old, s, border))
 
 
-@query(
-    f"""WITH {VERSIONS_SQL}, l AS (SELECT entity_key, tenant_id, event_id, modified_ts FROM staged WHERE event_id % 3 = 0),
-    m AS (SELECT l.event_id, v.bucket FROM l JOIN versions v ON v.tenant_id = l.tenant_id AND v.entity_key = l.entity_key AND l.modified_ts >= v.valid_from AND l.modified_ts < v.valid_to)
-    SELECT l.event_id, m.bucket AS state FROM l LEFT JOIN m USING (event_id)"""
-)
-def pit_join(spark, sf):
-    s = staged_events(spark, sf)
-    left = s.where("event_id % 3 = 0").select("tenant_id", "entity_key", "event_id", "modified_ts")
-    right = scd2.assign_versions(s).where("valid_from < valid_to").select("tenant_id", "entity_key", "valid_from", "valid_to", F.col("bucket").alias("state"))
-    return gold.pit_join(left, right, ["tenant_id", "entity_key"], "modified_ts", ["state"]).select("event_id", "state")
-
-
 @query(
     f"""WITH {VERSIONS_SQL}, l AS (SELECT entity_key, tenant_id, event_id, modified_ts FROM staged),
     m AS (SELECT l.event_id, v.bucket FROM l JOIN versions v ON v.tenant_id = l.tenant_id AND v.entity_key = l.entity_key AND l.modified_ts >= v.valid_from AND l.modified_ts < v.valid_to)
     SELECT l.event_id, m.bucket AS state FROM l LEFT JOIN m USING (event_id)"""
 )
-def pit_join_all(spark, sf):
+def pit_join(spark, sf):
     """Every event against the versions of its entity."""
     s = staged_events(spark, sf)
     right = scd2.assign_versions(s).where("valid_from < valid_to").select("tenant_id", "entity_key", "valid_from", "valid_to", F.col("bucket").alias("state"))

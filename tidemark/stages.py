@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.mapping import MappingRow
+from .functions.projection import MappingRow
 from .operators.sequencing import ingest_seq
 
 
