@@ -7,20 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sequencing import ingest_seq
+from ..functions.projection import field
+from ..operators.sequencing import file_row_num, ingest_seq, manifest_seq
 from ..sources.landing import LandingFile
 from ..sources.readers import bronze_rows
 
 
-def ingest(spark: SparkSession, files: Sequence[LandingFile], source_system: str, batch_id: str, base: int = 0, **options) -> DataFrame:
+def ingest(spark: SparkSession, files: Sequence[LandingFile], source_system: str, batch_id: str, base: int = 0, manifest_column: str | None = None, **options) -> DataFrame:
     """Bronze rows of some files, numbered after ``base`` in delivery order.
 
     The ingest time is the file's time.  Rows of a file are ordered by fingerprint, then
-    by raw text, which does not depend on how the file is read.
+    by raw text, which does not depend on how the file is read.  With ``manifest_column``
+    the delivery's number comes from that field of its rows instead of the file's time.
     """
     rows = bronze_rows(spark, files, source_system, batch_id, **options)
     rows = rows.withColumn("_ingest_ts", F.col("_file_modified"))
-    return ingest_seq(rows, "_source_file", ["_file_order"], ["_row_hash", "_raw"], base).drop("_raw", "_file_order")
+    if manifest_column:
+        numbered = file_row_num(rows, "_source_file", ["_row_hash", "_raw"], F.substring("_row_hash", 1, 2))
+        delivery = field(manifest_column).try_cast("long")
+        return numbered.withColumn("_ingest_seq", manifest_seq(delivery, F.col("_file_row_num"))).drop("_raw", "_file_order")
+    return ingest_seq(rows, "_source_file", ["_file_order"], ["_row_hash", "_raw"], base, coarse=F.substring("_row_hash", 1, 2)).drop("_raw", "_file_order")
 
 
 def headers(bronze: DataFrame) -> DataFrame:

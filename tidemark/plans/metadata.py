@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import OPEN_END
-from ..functions.mapping import MappingRow
-from ..naming import LAYERS, Layout
+from ..functions.projection import MappingRow
+from ..naming import LAYERS, place
 
 CATALOG_SCHEMA = (
     "tenant string, source_column string, generic_column string, is_promoted boolean, is_business_key boolean, precedence int, "
@@ -25,20 +25,20 @@ TABLES = {
 }
 
 
-def create_layers(spark: SparkSession, layout: Layout) -> None:
+def create_layers(spark: SparkSession, suffix: str = "") -> None:
     """Databases of all layers and the empty metadata tables; what exists stays."""
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.schema(layer)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {place(layer, suffix=suffix)}")
     for table, schema in TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layout.schema('meta')}.{table} ({schema}) USING parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {place('meta', table, suffix=suffix)} ({schema}) USING parquet")
 
 
-def drop_layers(spark: SparkSession, layout: Layout) -> None:
-    """Remove the databases of a developer's layout; the shared layout has no suffix and is refused."""
-    if not layout.schema_suffix.strip():
-        raise ValueError("only layouts with a suffix may be dropped")
+def drop_layers(spark: SparkSession, suffix: str) -> None:
+    """Remove a developer's databases; the shared ones have no suffix and are refused."""
+    if place("meta", suffix=suffix) == "meta":
+        raise ValueError("only databases with a suffix may be dropped")
     for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {layout.schema(layer)} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {place(layer, suffix=suffix)} CASCADE")
 
 
 def catalog_rows(spark: SparkSession, rows: Iterable[MappingRow], recorded_at: datetime, superseded: dict[tuple[str, str], datetime] | None = None) -> DataFrame:

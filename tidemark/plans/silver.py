@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import KEY
-from ..functions.mapping import MappingRow, build_select, promoted, raw_expr, target_type
+from ..functions.projection import MappingRow, Projection
 from ..functions.quality import cast_failures, row_status
 from ..operators.reconcile import differences
 from ..operators.scd2 import assign_versions
@@ -20,10 +20,9 @@ _META = ("tenant_id", "payload", "_row_hash", "_ingest_seq", "_ingest_ts", "_bat
 
 def stage(bronze: DataFrame, rows: Sequence[MappingRow], grain: Sequence[str], tenant: str | None = None) -> DataFrame:
     """Bronze columns, typed generic columns and ``entity_key``; with ``tenant``, its rows by its own arm alone."""
-    plan = build_select(rows, grain, tenant=tenant)
     if tenant is not None:
         bronze = bronze.where(F.col("tenant_id") == tenant)
-    return bronze.selectExpr(*[c for c in _META if c in bronze.columns], *plan.expressions)
+    return bronze.select(*[c for c in _META if c in bronze.columns], *Projection(rows, tenant).columns(grain))
 
 
 def build(bronze: DataFrame, rows: Sequence[MappingRow], grain: Sequence[str], required: Sequence[str] = (), event_time: str | None = None, mapping_ver: int = 1, key_ver: int = 1, build_id: str = "", tenant: str | None = None) -> DataFrame:
@@ -32,7 +31,7 @@ def build(bronze: DataFrame, rows: Sequence[MappingRow], grain: Sequence[str], r
     Quality is judged after versioning, so a deletion repeats what its carried row failed.
     """
     versions = assign_versions(stage(bronze, rows, grain, tenant), event_time)
-    checks = {g: (F.col(f"`{g}`"), F.expr(raw_expr(rs, tenant=tenant))) for g, rs in promoted(rows).items() if target_type(rs) != "STRING"}
+    checks = Projection(rows, tenant).failures_of()
     failures = cast_failures(checks) if checks else F.array().cast("array<string>")
     out = versions.withColumn("_cast_failures", failures)
     corrupt = F.col("_corrupt_record") if "_corrupt_record" in out.columns else F.lit(None).cast("string")
