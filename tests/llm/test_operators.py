@@ -356,6 +356,106 @@ def test_toxic_words_of_a_small_table_with_copies(spark):
     assert all(plain.weight(w) == hot_too.weight(w) for w in [*insults, *vocab])
 
 
+def plain_toxicity(docs, labels):
+    """The whole score by plain loops: counts, log-odds, leave-one-out, segments, extreme values, logistic curve."""
+    texts = dict(docs)
+    train = sorted({(y, texts[i] or "") for i, y in labels if i in texts and zlib.crc32(str(i).encode()) % 5})
+    tokens = lambda text: {t for w in toxicity.WORD.findall(text) for t in toxicity.tokens_of(w.lower())}
+    n_of, docs_of = Counter(), Counter()
+    for y, text in train:
+        n_of.update((y, t) for t in tokens(text))
+        docs_of[y] += 1
+
+    def odds(t, out=None):
+        y, z, n1, n0 = n_of[1, t] - (out == 1), n_of[0, t] - (out == 0), docs_of[1] - (out == 1), docs_of[0] - (out == 0)
+        if not n_of[1, t]:
+            return 0.0
+        y, z, rate = max(y, 0), max(z, 0), (max(y, 0) + max(z, 0)) / (n1 + n0)
+        return max(0.0, math.log((y + 1) / (rate * n1 + 1)) - math.log((z + 1) / (rate * n0 + 1)))
+
+    def scores(text, out=None):
+        values = [max(odds(t, out) for t in toxicity.tokens_of(w.lower())) - toxicity.DRIFT for w in toxicity.WORD.findall(text)]
+        return len(values), plain_segments(values)
+
+    rows = [(y, *scores(text, y)) for y, text in train]
+    clean = [(max((s for s, _, _ in segments), default=0.0), max(n, 1)) for y, n, segments in rows if not y]
+    above = [s for s, _ in clean if s > 0]
+    k, scale = 1e-3, 1.0
+    if len(above) >= 10:
+        def likelihood(c):
+            kk = len(above) / sum(n * math.exp(-c * s) for s, n in clean)
+            return sum(math.log(kk * n * c) - c * s - kk * n * math.exp(-c * s) for s, n in clean if s > 0) - sum(kk * n for s, n in clean if not s)
+
+        scale = max((0.02 * 1.002**i for i in range(3450)), key=likelihood)
+        k = len(above) / sum(n * math.exp(-scale * s) for s, n in clean)
+
+    def facts(n, segments):
+        e = [scale * s - math.log(k * max(n, 1)) for s, _, _ in segments]
+        best = max(e, default=-math.log(k * max(n, 1)))
+        return [min(max(best, -20), 40) / 10, math.log1p(max((s for s, _, _ in segments), default=0.0)), math.log1p(sum(x for x in e if 1 - math.exp(-math.exp(-x)) < 0.05)), 1.0]
+
+    x, y = np.array([facts(n, segments) for _, n, segments in rows]), np.array([r[0] for r in rows])
+    w = np.zeros(4)
+    for _ in range(200):  # Newton's steps on the penalised likelihood
+        p = 1 / (1 + np.exp(-(x @ w)))
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.01 * np.eye(4), x.T @ (p - y) + 0.01 * w)
+    out = {}
+    for i, text in docs:
+        n, segments = scores(text or "")
+        out[i] = 1 / (1 + math.exp(-float(np.array(facts(n, segments)) @ w)))
+    return out, (k, scale)
+
+
+def test_whole_toxicity_score_against_plain_loops(spark):
+    rng = random.Random(52)
+    vocab, insults = vocabulary(rng, 60), ["scum", "trash", "moron", "loserish"]
+    docs, labels = [(-1, None), (-2, ""), (-3, "Scum TRASH moron")], []
+    for i in range(150):
+        text = rng.choices(vocab, k=rng.randint(1, 25))
+        if i % 4 == 0:
+            text.insert(len(text) // 2, rng.choice(insults))
+            text.insert(len(text) // 2, rng.choice(insults).upper())
+        elif i % 5 == 0:
+            text.insert(0, rng.choice(insults))
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    docs.append((150, docs[3][1]))
+    labels += [(150, labels[0][1]), (999, 1), (7, None)]
+    d, y = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(d, y)
+    got = {r.doc_id: r for r in toxicity.score(d, model).collect()}
+    want, (k, scale) = plain_toxicity(docs, [(i, t) for i, t in labels if t is not None])
+    assert abs(model.scale / scale - 1) < 0.01 and abs(model.k / k - 1) < 0.05
+    assert all(abs(got[i].score - p) < 0.02 for i, p in want.items()) and max(want.values()) > 0.6 > 0.4 > min(want.values())
+    spans = [dict(docs)[-3][p.first : p.last] for p in got[-3].passages]
+    assert all(span in "Scum TRASH moron" and set(span.lower().split()) <= set(insults) for span in spans)
+
+
+def test_extreme_value_law_is_recovered():
+    rng = np.random.default_rng(53)
+    for k, scale in ((0.05, 0.6), (0.002, 1.7)):
+        n = rng.integers(20, 2000, 20_000).astype(float)
+        s = np.maximum(np.log(k * n / -np.log(rng.random(20_000))) / scale, 0.0)
+        found_k, found = toxicity.gumbel(s, n)
+        assert abs(found / scale - 1) < 0.05 and abs(found_k / k - 1) < 0.15
+    assert toxicity.gumbel(np.zeros(50), np.ones(50)) == (1e-3, 1.0)
+
+
+def test_empty_tables_and_repeated_ids_of_labelled_operators(spark, tmp_path, monkeypatch):
+    docs, labels = labelled(spark, 40)
+    docs = written(docs, tmp_path, "d")
+    none = written(docs.limit(0), tmp_path, "none")
+    assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0 == quality.score(none, quality.fit(none, labels)).count()
+    many = written(spark.createDataFrame([(1, f"text number {i} a", "x", 1) for i in range(3000)] + [(2, "other", "x", 2), (None, "nobody", "x", 3)], "doc_id long, text string, label string, uid int"), tmp_path, "many")
+    both = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 400)
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, y: seen.append(len(rows)) or quality.Machine(np.zeros((16, 7)), 0.0, np.zeros(quality.BUCKETS + 128), np.zeros((quality.BUCKETS + 128, quality.FACTORS))))
+    machine = quality.fit(many, both)
+    assert 300 < seen[0] < 500
+    assert quality.score(many, machine).count() == 3002 == toxicity.score(many, toxicity.fit(many, both)).count()
+
+
 def test_labels_of_one_kind(spark):
     docs, labels = labelled(spark, 20)
     for label in (0, 1):

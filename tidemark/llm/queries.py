@@ -40,7 +40,9 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = toxicity.score(docs, model)
+    evidence = F.aggregate("passages", F.lit(0.0), lambda total, p: total + p["evidence"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"), evidence.alias("evidence"))
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
