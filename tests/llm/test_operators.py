@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -480,12 +481,83 @@ def test_labels_of_one_kind(spark):
         ("<body><div class='sidebar'>s</div><div id=content><p>plain</p><p>page</p></div><div class='cookie-notice'>c</div></body>", "plain page"),
         ("<article>&eacute;&#233;&#xe9; &lt;p&gt; &copy &am</article>", "ééé <p> © &am"),
         ("<ARTICLE><P title='a > b'>x</P></ARTICLE>", "x"),
+        ('<body><article class="post has-sidebar"><p>words of it</p></article></body>', "words of it"),
+        ('<div class="layout with-sidebar"><main><p>words of it</p></main><div class="sidebar">s</div></div>', "words of it"),
+        ('<div id="content" class="search-friendly"><p>words of it</p></div>', "words of it"),
+        ('<div class="sidebar"><p>the whole page is in here</p></div><div class="ad">buy</div>', "the whole page is in here"),
+        ("<form><div>a page in a form element</div><div class='site-nav'>n</div></form>", "a page in a form element"),
+        ('<article><header><h1>Title</h1></header><p>a long body of text</p><section class="related-work"><p>others</p></section><footer>f</footer></article>', "Title a long body of text others"),
+        ("<article><p>text<textarea>t</TEXTAREA><br>more</article>", "text more"),
+        ("<article><p>1 < 2 and a<b</p></article>", "1 < 2 and a"),
     ],
 )
 def test_extraction(page, text):
     assert html_extract.extract(page, frozenset()) == text
 
 
+@pytest.mark.parametrize("part", ["<p <p ", "<script", "<script>", "<", "<!--", "<div>", "</div>", "<div></b>", "<p class='a b", "<p x='>", "<textarea></TEXTAREA>", "<article>", "&"])
+def test_a_megabyte_of_malformed_html(part):
+    began = time.process_time()
+    page = part * (1_000_000 // len(part))
+    html_extract.extract(page)
+    html_extract.frame(page)
+    assert time.process_time() - began < 10  # seconds even on a busy machine; a quadratic scan takes an hour
+
+
+def plain_templates(pages, share, least):
+    """Classes by the definition: tokens with equal vectors of counts over the distinct pages, in enough of them."""
+    distinct = {}
+    for page in pages:
+        distinct.setdefault(html_extract.extract(page), page)
+    counts = [Counter(html_extract.tokens(p)) for p in distinct.values()]
+    first = {}
+    for c in counts:
+        for place, t in enumerate(c, 1):
+            first[t] = min(first.get(t, place), place)
+    classes = defaultdict(list)
+    for t in first:
+        classes[tuple(c[t] for c in counts)].append(t)
+    out = []
+    for vector, members in classes.items():
+        n = sum(v > 0 for v in vector)
+        if n >= least and n >= share * len(counts) and len(members) > 1 and any(t.startswith("t:") for t in members):
+            places = Counter(first[t] for t in members)
+            out.append((n, [html_extract.token_hash(t) for t in sorted(members, key=lambda t: first[t]) if places[first[t]] == 1]))
+    return sorted(out)
+
+
+def test_classes_of_hosts_against_the_definition(spark, tmp_path):
+    rng = random.Random(63)
+    vocab = vocabulary(rng, 100)
+    hosts = {}
+    for h in range(4):
+        for i in range(rng.randint(3, 14)):
+            parts = [f"<div class='k{h}x'><i>{w}</i></div>" for w in rng.sample(["Top", "Hot", "New", "End"], rng.randint(1, 4))]
+            body = f"<p>{' '.join(rng.choices(vocab, k=8))}</p>"
+            hosts.setdefault(f"h{h}", []).append("<body>" + "".join(parts[:2]) + body + "".join(parts[2:]) + "</body>")
+        hosts[f"h{h}"] += hosts[f"h{h}"][:2]
+    rows = [(h, page) for h, pages in hosts.items() for page in pages]
+    table = written(spark.createDataFrame(rows, "host string, html string"), tmp_path)
+    of_host, _ = html_extract.templates(table)
+    got = {r.host: sorted((c["n"], list(c["members"])) for c in r.of_host) for r in of_host.collect()}
+    want = {h: plain_templates(pages, html_extract.TEMPLATE_SHARE, html_extract.TEMPLATE_PAGES) for h, pages in hosts.items()}
+    assert got == {h: c for h, c in want.items() if c} and any(want.values())
+
+
+def test_classes_nest_or_are_left_out():
+    outer, inside, around, across = (5, [2, 10, 20]), (4, [11, 15]), (3, [1, 25]), (2, [5, 12])
+    assert sorted(html_extract.nested([across, outer, inside])) == [1, 2]
+    assert sorted(html_extract.nested([outer, inside, around])) == [0, 1, 2]
+    assert html_extract.nested([across]) == [0]
+
+
+def test_repeated_pages_and_kinds_of_one_page(spark, tmp_path):
+    page = "<html><body><div>Same words here</div><p>and here</p></body></html>"
+    rows = [(i, "http://one.example/a", page) for i in range(9)] + [(9, "http://two.example/b", page), (9, "http://two.example/b", page)]
+    pages = written(spark.createDataFrame(rows, "page_id long, url string, html string"), tmp_path)
+    assert [r.text for r in html_extract.extract_pages(pages).collect()] == ["Same words here and here"] * 11
+
+
 def test_template_of_a_host(spark, tmp_path):
     rng = random.Random(6)
     vocab = vocabulary(rng, 300)
