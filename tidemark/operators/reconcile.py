@@ -31,14 +31,20 @@ def count_difference(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame
     return joined.where("n_a <> n_b")
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fingerprint(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """One md5 over all rows in the order of their text; equal for equal bags of rows.
 
     Rows are hashed first and the hashes summed up per hash prefix, so that no task
-    gathers the table: 4096 partial lists make the final one.
+    gathers the table: lists of one prefix make the final one.  ``digits`` of a prefix make
+    16 ** digits lists; a table of n rows wants about log16(n / 10,000) of them, and more
+    than five are summed up by their first three once more.
     """
     row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]))
-    parts = df.select(row.alias("h")).groupBy(F.substring("h", 1, 3).alias("p")).agg(F.md5(F.concat_ws(",", F.array_sort(F.collect_list("h")))).alias("d"))
+    parts = df.select(row.alias("h")).groupBy(F.substring("h", 1, digits).alias("p")).agg(F.md5(F.concat_ws(",", F.array_sort(F.collect_list("h")))).alias("d"))
+    while digits > 5:
+        digits -= 3
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"])
+        parts = parts.groupBy(F.substring("p", 1, digits).alias("q")).agg(F.md5(F.concat_ws(",", listed)).alias("d")).withColumnRenamed("q", "p")
     return parts.agg(F.md5(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("p", "d"))), lambda x: x["d"]))).alias("fingerprint"))
 
 
