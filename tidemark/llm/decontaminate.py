@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import text_of
+from ._shared import map_batches, materialise, row_id, text_of
 
 ERROR_RATE = 0.05
-#: Items are matched in blocks of at most about so many characters: the automaton's size is bounded, any number of items is handled.
+#: Items are matched in blocks of about so many characters: the automaton's size is bounded, any number of items is handled.
 ITEM_CHARS = 4_000_000
 GAPS = re.compile(r"\W+")
 
@@ -109,17 +109,19 @@ class Matcher:
                 best = min(best, myers(masks, length, text[a:b]))
             if best <= edits:
                 out.append((item_id, best))
-        return sorted(out)
+        return sorted(out, key=lambda x: (x[0] is not None, x))
 
 
-def _match(items: list[tuple[int, str]], rate: float):
+def _match(items: list[tuple[int, str]], rate: float, keep: list[str], all_rows: bool):
+    """Columns ``keep`` and ``hits`` of each row, or only of rows with hits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(items, rate)
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32())]))
         for batch in batches:
-            found = [matcher.hits(t) for t in batch["text"].to_pylist()]
-            old = batch["hits"].to_pylist()
-            hits = [[*o, *({"item_id": i, "edits": e} for i, e in f)] for o, f in zip(old, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["row"], batch["text"], pa.array(hits, batch["hits"].type)], names=["row", "text", "hits"])
+            found = [[{"item_id": i, "edits": e} for i, e in matcher.hits(t)] for t in batch["text"].to_pylist()]
+            out = pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(found, kind)], names=[*keep, "hits"])
+            yield out if all_rows else out.filter(pa.array([bool(f) for f in found], pa.bool_()))
 
     return run
 
@@ -129,15 +131,34 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null or empty texts hold nothing, null or wordless items match nothing, repeated item
     ids are matched each, and a null item id is reported as null.  Items short enough to
-    have no budget must occur unchanged.
+    have no budget must occur unchanged.  Repeated rows get a row each.  Without rows, or
+    without items, the result has as many rows as ``docs`` and no hits.  A text of any
+    length is read whole.  Item ids are integers.
+
+    Items up to ``ITEM_CHARS`` are matched in one pass over the texts.  More of them are
+    dealt into blocks of that size; each block is a pass of its own that keeps only rows
+    with hits, so neither the driver nor a task ever holds more than one block.  ``docs``
+    must be a stable source then, for hits are joined back by the rows' places.
     """
-    items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{item_text_col}`").alias("text"))
+    items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{item_text_col}`").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-int(total) // ITEM_CHARS) or 1
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    out = docs.select(row.alias("row"), text_of(f"`{text_col}`").alias("text"), F.expr("cast(array() AS array<struct<item_id: bigint, edits: int>>)").alias("hits"))
-    schema = out.schema
+    text = text_of(f"`{text_col}`").alias("text")
+    hit_type = "array<struct<item_id: bigint, edits: int>>"
+    if blocks == 1:
+        whole = docs.select(row.alias("row"), text)
+        schema = whole.select("row", F.lit(None).cast(hit_type).alias("hits")).schema
+        return map_batches(whole, _match(_block(items, 0, 1), rate, ["row"], True), schema)
+    places = docs.select(row_id(docs).alias("uid"), text)
+    found = None
     for k in range(blocks):
-        some = [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).orderBy("id", "text").collect()]
-        out = out.mapInArrow(_match(some, rate), schema)
-    return out.select("row", "hits")
+        one = materialise(map_batches(places, _match(_block(items, k, blocks), rate, ["uid"], False), f"uid long, hits {hit_type}"), "hits")
+        found = one if found is None else found.unionByName(one)
+    hits = found.groupBy("uid").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    met = docs.select(row_id(docs).alias("uid"), row.alias("row")).join(hits, "uid", "left")
+    return met.select("row", F.coalesce("hits", F.array().cast(hit_type)).alias("hits"))
+
+
+def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[int, str]]:
+    return [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).orderBy("id", "text").collect()]
