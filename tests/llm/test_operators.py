@@ -777,6 +777,34 @@ def test_near_duplicates(spark, tmp_path, monkeypatch, seed, limit, block):
         assert all(r.keep_row == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_finer_bands_meet_in_similar_sets_and_part_unlike_ones():
+    rng = np.random.default_rng(13)
+    for common, own, meets in ((400, 35, True), (40, 3, True), (12, 1, True), (100, 150, False)):
+        met = []
+        for _ in range(20):
+            shared = rng.integers(0, 2**63, common, dtype=np.uint64)
+            x, y = (near_dup.fine_keys(np.unique(np.concatenate([shared, rng.integers(0, 2**63, own, dtype=np.uint64)]))) for _ in range(2))
+            met.append(bool((x == y).any()))
+        assert all(met) if meets else np.mean(met) < 0.4
+
+
+def test_a_hot_bucket_of_unlike_documents_loses_no_link(spark, tmp_path, monkeypatch):
+    """Boilerplate puts all documents into common buckets; pairs far from every centre are still found."""
+    monkeypatch.setattr(near_dup, "BLOCK", 20)
+    rng = random.Random(14)
+    vocab = vocabulary(rng, 2000)
+    common, texts = rng.choices(vocab, k=90), []
+    for _ in range(60):
+        own = rng.choices(vocab, k=60)
+        texts.append(" ".join(common + own))
+        if rng.random() < 0.5:
+            texts.append(" ".join(common + own[:-3] + rng.choices(vocab, k=2)))
+    docs = written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    rows = near_dup.NearDuplicates(docs, percent=85).classes().collect()
+    want = plain_classes(texts, 85)
+    assert [(r.n_shingles, r.component_id) for r in sorted(rows, key=lambda r: r.doc_id)] == want and len({c for _, c in want}) < len(texts)
+
+
 def test_null_and_repeated_ids(spark, tmp_path):
     rows = [(None, "same words in both of them"), (4, "same words in both of them"), (4, "same words in both of them"), (None, "quite another text than that"), (None, "quite another text than that")]
     docs = written(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), tmp_path)
