@@ -2,7 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its result
 is written as Parquet and read again as the next stage's ``docs``.  All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, whatever further columns there are and however
+they are named.  Null and empty texts, null and repeated ids, repeated rows, texts of any
+length and empty tables are fine at every stage: each row is a document of its own, null
+text is empty, and no rows give no rows.  ``docs`` must be a stable source (files).
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ def _columns(rows: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of at least 0.3)."""
+    """Documents that the quality classifier accepts (score of at least 0.3); equal texts share one fate."""
     machine = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _columns(quality.score(docs, machine).where("score >= 0.3"), docs)
 
@@ -37,7 +40,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    """One document of each class of near duplicates (five-word shingles, similarity 0.8 or more).
+
+    Of a class the row with the smallest id stays, of rows with one id the first; texts without words all stay.
+    """
     work = near_dup.NearDuplicates(docs, percent=80)
     gone = work.classes().where("NOT keep_row").select("uid")
     rows = docs.select(row_id(docs).alias("uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -47,13 +53,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; without items all stay."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _columns(found.where(F.size("hits") == 0), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents."""
+    """The packed pieces of all documents; null and empty texts are an end id alone, equal texts are packed as often as they occur."""
     pieces = packing.token_pieces(docs, tokenizer_path("word_bpe_49k.json"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-from ._shared import process_cache
+from ._shared import CACHE_ENTRIES, CACHE_KEY, Memory, process_cache
 
 #: Same alternatives as in the tokenizer file, for chunks of plain characters.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
@@ -28,14 +28,15 @@ def byte_letters() -> dict[int, str]:
 class WordEncoder:
     """``ids(text)``: the ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
-        self.chunks, self.pieces = process_cache(f"bpe-chunks:{path}"), process_cache(f"bpe-pieces:{path}")
+        self.tokenizer = Tokenizer.from_file(path)
+        cache = process_cache(f"bpe:{path}")
+        self.chunks, self.pieces = Memory(self.chunk, cache.setdefault("chunks", {})), cache.setdefault("pieces", {})
         self.letters = byte_letters()
         self.model = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -52,24 +53,16 @@ class WordEncoder:
             if ids is None:
                 word = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
                 ids = b"".join(t.id.to_bytes(4, "little") for t in self.model(word))
-                if len(self.pieces) >= self.bound:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
+                if len(piece) <= CACHE_KEY:
+                    if len(self.pieces) >= CACHE_ENTRIES // 4:
+                        self.pieces.clear()
+                    self.pieces[piece] = ids
             out.append(ids)
         return b"".join(out)
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
-        known = self.chunks
         chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) >= self.bound:
-            known.clear()
-        for c in chunks:
-            if c not in known:
-                known[c] = self.chunk(c)
-        return b"".join(map(known.__getitem__, chunks))
+        n = Memory.SLICE
+        return b"".join(self.chunks.values(chunks[at : at + n], b"".join) for at in range(0, len(chunks), n))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +21,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the session has none (single-machine tests) a temporary folder is set.
+    Where the session has none, a temporary folder is set if everything runs in one
+    process (``local`` masters, as in tests); on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         given = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = given.get() if given.isDefined() else tempfile.mkdtemp(prefix="tidemark-")
+        if given.isDefined():
+            found = given.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            found = tempfile.mkdtemp(prefix="tidemark-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -53,9 +62,50 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
 
 
+#: Entries of a worker's cache, and the longest key that is remembered: together they bound its bytes (about 80 MB).
+CACHE_ENTRIES, CACHE_KEY = 400_000, 64
+#: Bytes of an Arrow batch on its way to Python, where the session does not say.
+BATCH_BYTES = "4m"
+
+
 def process_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, across its tasks."""
-    return sys.__dict__.setdefault("_tidemark_caches", {}).setdefault(name, {})
+    """A dictionary of the Python worker, kept across its tasks.  A worker has one at a time: asking for another drops it."""
+    caches = sys.__dict__.setdefault("_tidemark_caches", {})
+    if name not in caches:
+        caches.clear()
+    return caches.setdefault(name, {})
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the allocator hold free to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def _tidy(run: Callable) -> Callable:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def arrow_settings(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, for a batch of the default 10,000 rows may hold 10,000 long texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` over batches of bounded bytes; a worker gives its free memory back when a task ends."""
+    arrow_settings(df.sparkSession)
+    return df.mapInArrow(_tidy(run), schema)
 
 
 def text_of(name: str = "text"):
@@ -87,29 +137,58 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHasher:
-    """64-bit hashes of words, remembered per Python worker up to a bound."""
+class Memory:
+    """Values of words, remembered in a Python worker up to a bound.
 
-    def __init__(self, bound: int = 400_000):
-        import xxhash
+    A full memory stays as it is, for it has the frequent words, until as many unknown
+    words have come by as it holds; then it begins anew.
+    """
 
-        self.hash, self.bound, self.known = xxhash.xxh3_64_intdigest, bound, process_cache("word-hash")
+    SLICE = 1 << 16
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, out = self.known, []
+    def __init__(self, value_of: Callable, known: dict, bound: int = CACHE_ENTRIES):
+        self.value_of, self.known, self.bound, self.strange = value_of, known, bound, 0
+
+    def values(self, words: list, use: Callable[[Iterator], object]):
+        """``use`` of the values of at most ``SLICE`` words in order."""
+        known = self.known
         try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return use(map(known.__getitem__, words))
         except KeyError:
             pass
-        if len(known) > self.bound:
-            known.clear()
-        get, h = known.get, self.hash
+        fresh = {w: self.value_of(w) for w in set(words).difference(known)}
+        known.update(fresh)
+        try:
+            return use(map(known.__getitem__, words))
+        finally:
+            if len(known) > self.bound:
+                self.strange += len(fresh)
+                if self.strange > self.bound:
+                    known.clear()
+                    self.strange = 0
+                else:
+                    self.forget(fresh)
+            else:
+                self.forget([w for w in fresh if len(w) > CACHE_KEY])
+
+    def forget(self, words) -> None:
         for w in words:
-            v = get(w)
-            if v is None:
-                v = known[w] = h(w)
-            out.append(v)
-        return np.array(out, dtype=np.uint64)
+            del self.known[w]
+
+
+class WordHasher:
+    """64-bit hashes of words."""
+
+    def __init__(self):
+        import xxhash
+
+        self.memory = Memory(xxhash.xxh3_64_intdigest, process_cache("word-hash"))
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        n = Memory.SLICE
+        if len(words) > n:
+            return np.concatenate([self(words[at : at + n]) for at in range(0, len(words), n)])
+        return self.memory.values(words, lambda values: np.fromiter(values, np.uint64, len(words)))
 
 
 def hash_rows(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -127,7 +206,7 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     return np.unique(hash_rows(hashes, min(n, len(hashes))))
 
 
-def share_of(df: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """All rows where there are at most ``rows``; else those whose id hash falls in a share that holds about ``rows``."""
+def share_of(df: DataFrame, rows: int, *cols: str) -> DataFrame:
+    """All rows where there are at most ``rows``; else those whose hash of ``cols`` falls in a share that holds about ``rows``."""
     n = df.count()
-    return df if n <= rows else df.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+    return df if n <= rows else df.where(F.pmod(F.xxhash64(*cols, F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * rows / n))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialise, share_of
+from ._shared import map_batches, materialise, share_of
 
 SAMPLE_ROWS, BRANCH, MAX_LEAVES, LEAF_SAMPLE = 20_000, 16, 1024, 40
 CALIBRATION_QUERIES, TARGET_RECALL = 128, 0.97
@@ -213,18 +213,18 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     if sizes is None:
         return vectors.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     vectors = vectors.where(F.size("v") == sizes["d"])
-    sample = share_of(vectors, "vec_id", SAMPLE_ROWS).toPandas().sort_values("vec_id")
+    sample = share_of(vectors, SAMPLE_ROWS, "vec_id").toPandas().sort_values("vec_id")
     x = np.array(sample["v"].tolist(), np.float64).reshape(len(sample), -1)
     tree = Tree(x, max(LEAF_SAMPLE, len(x) // MAX_LEAVES))
-    index = materialise(vectors.mapInArrow(_assign(tree), "vec_id long, v array<double>, leaf int"), "leaves")
+    index = materialise(map_batches(vectors, _assign(tree), "vec_id long, v array<double>, leaf int"), "leaves")
     counts = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
     of, parts = buckets_of(counts)
 
     queries = index.where(F.col("vec_id") % every == 0)
-    probe = share_of(queries, "vec_id", CALIBRATION_QUERIES).select("vec_id", "v").toPandas().sort_values("vec_id").drop_duplicates("vec_id")
+    probe = share_of(queries, CALIBRATION_QUERIES, "vec_id").select("vec_id", "v").toPandas().sort_values("vec_id").drop_duplicates("vec_id")
     visits = _calibrate(tree, index, probe, k)
 
-    planned = queries.select("vec_id", "v").mapInArrow(_plan(tree, visits, counts, k, of, parts), "query_id long, q array<double>, bucket int, part int, leaves array<int>")
+    planned = map_batches(queries.select("vec_id", "v"), _plan(tree, visits, counts, k, of, parts), "query_id long, q array<double>, bucket int, part int, leaves array<int>")
     planned = materialise(planned, "visits")
     asked = {r["bucket"]: r["count"] for r in planned.where("part = 0").groupBy("bucket").count().collect()}
     salts = {bucket: -(-n // PART_QUERIES) for bucket, n in asked.items()}
@@ -244,7 +244,7 @@ def _calibrate(tree: Tree, index: DataFrame, probe, k: int) -> int:
     if not len(probe):
         return 1
     q_ids, q = probe["vec_id"].tolist(), np.array(probe["v"].tolist(), np.float64)
-    near = index.mapInArrow(_brute(q_ids, q, k), "query_id long, vec_id long, score double, leaf int")
+    near = map_batches(index, _brute(q_ids, q, k), "query_id long, vec_id long, score double, leaf int")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     true = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "leaf").collect()
     place = {qid: {leaf: i for i, leaf in enumerate(tree.visits(v))} for qid, v in zip(q_ids, q, strict=True)}

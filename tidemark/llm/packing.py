@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bpe import WordEncoder
-from ._shared import materialise, row_id, text_of
+from ._shared import map_batches, materialise, row_id, text_of
 
 END_ID = 1
 PIECE_SCHEMA = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -105,7 +105,7 @@ def _pieces(path: str, capacity: int):
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of each document; null or empty text has the end id alone."""
     rows = docs.select(row_id(docs).alias("uid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_pieces(tokenizer_path, capacity), PIECE_SCHEMA)
+    return map_batches(rows, _pieces(tokenizer_path, capacity), PIECE_SCHEMA)
 
 
 def _pack_group(capacity: int, number: int, final: bool):

@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import WordHasher, fold, materialise, share_of, text_of, words_of
+from ._shared import WordHasher, fold, map_batches, materialise, row_id, share_of, text_of, words_of
 
 SAMPLE_ROWS = 8_000
+#: Labels up to this size are broadcast; beyond it they are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 BUCKETS, FACTORS, BINS = 1 << 13, 4, 8
 EPOCHS, BATCH, RATE, DECAY = 20, 128, 0.1, 1e-5
 STATISTICS = ("chars", "words", "word_length", "upper", "digits", "marks", "odd_ends", "distinct_words", "distinct_lines", "top_word", "line_length", "bars", "stops", "long_words", "non_ascii", "distinct_grams")
@@ -127,12 +129,18 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_fold: int = 0) -> Machine:
-    """Learn from at most about ``SAMPLE_ROWS`` labelled rows outside the held fold."""
-    given = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where(F.col("label").isNotNull() & (fold(folds, "id") != held_fold))
-    given = share_of(given, "id", SAMPLE_ROWS)
-    wanted = materialise(given, "quality-labels")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").cast("binary").alias("text")).join(F.broadcast(wanted), "id").select("label", "text")
-    got = rows.mapInArrow(_vectors, "label int, buckets array<int>, weights array<float>, stats array<double>").toArrow().combine_chunks()
+    """Learn from at most about ``SAMPLE_ROWS`` labelled rows outside the held fold.
+
+    The bound holds for rows of documents that have a label, however often an id occurs on
+    either side.  Null labels and ids teach nothing.  ``docs`` must be a stable source.
+    """
+    given = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("id").isNotNull() & (fold(folds, "id") != held_fold))
+    rows = docs.select(row_id(docs).alias("uid"), F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").cast("binary").alias("text"))
+    small = given.count() * 16 <= BROADCAST_BYTES
+    matched = rows.select("uid", "id").join(F.broadcast(given) if small else given, "id")
+    wanted = materialise(share_of(matched, SAMPLE_ROWS, "uid", "label").select("uid", "label"), "quality-sample")  # about SAMPLE_ROWS rows at most
+    rows = rows.select("uid", "text").join(F.broadcast(wanted), "uid").select("label", "text")
+    got = map_batches(rows, _vectors, "label int, buckets array<int>, weights array<float>, stats array<double>").toArrow().combine_chunks()
     if not len(got):
         return train([], np.zeros(0))
     columns = [_lists(got[c]) for c in ("buckets", "weights", "stats")]
@@ -166,4 +174,4 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFram
     """``row`` (a struct of all columns of ``docs``) and ``score`` for each row; null text is scored as empty."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     schema = docs.select(row.alias("row")).schema.add("score", "double")
-    return docs.select(row.alias("row"), text_of(f"`{text_col}`").cast("binary").alias("text")).mapInArrow(_apply(machine), schema)
+    return map_batches(docs.select(row.alias("row"), text_of(f"`{text_col}`").cast("binary").alias("text")), _apply(machine), schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import process_cache, text_of
+from ._shared import map_batches, process_cache, text_of
 
 SCHEMA = "doc_id long, section int, start_char long, end_char long, n_tokens long, n_crossing long, doc_tokens long"
 
@@ -81,4 +81,4 @@ def section_token_counts(docs: DataFrame, rank_path: str, id_col: str = "doc_id"
     ones are not read.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_count(rank_path), SCHEMA)
+    return map_batches(rows, _count(rank_path), SCHEMA)
