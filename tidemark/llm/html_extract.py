@@ -56,6 +56,7 @@ DIGITS = re.compile(r"[0-9]+")
 PARTS = re.compile(r"[a-z]+")
 #: Elements that content brings along; they do not tell kinds of pages apart.
 FLOW = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th", "blockquote", "pre", "figure", "figcaption", "picture", "details", "summary", "center"))
+CONTENT = INLINE | VOID | RAW | FLOW
 #: A class is part of a template if its tokens are in this share of at least so many pages of the host or of one frame.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 4
 #: The main slot is followed down to the child that holds this share of an element's varying text.
@@ -136,20 +137,37 @@ def events(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
         yield "text", page[text_from:], ()
 
 
-def tokens(page: str) -> Iterator[str]:
-    """Template tokens: tags with class words, and text runs with white space made even."""
-    for kind, value, names in events(page):
+Events = list[tuple[str, str, tuple[str, ...]]]
+
+
+def parsed(page: str | Events) -> Events:
+    """The events of a page, read once for all that looks at them; text comes with its references decoded."""
+    if not isinstance(page, str):
+        return page
+    return [(kind, html.unescape(value) if kind == "text" and "&" in value else value, names) for kind, value, names in events(page)]
+
+
+def even(text: str) -> str:
+    """A text run with white space made even, as tokens have it."""
+    return " ".join(text.split())
+
+
+def tokens(page: str | Events) -> Iterator[str]:
+    """Template tokens: tags with class words, and even text runs."""
+    for kind, value, names in parsed(page):
         if kind == "text":
-            run = SPACE.sub(" ", html.unescape(value)).strip(" ")
+            run = even(value)
             if run:
                 yield f"t:{run}"
-        else:
+        elif names:
             yield f"{kind[0]}:{value}.{'.'.join(names)}"
+        else:
+            yield f"{kind[0]}:{value}."
 
 
-def frame(page: str) -> int:
+def frame(page: str | Events) -> int:
     """A number for the set of container elements and their names: pages of one kind share it."""
-    found = {f"{value}.{'.'.join(names)}" for kind, value, names in events(page) if kind == "open" and value not in INLINE and value not in VOID and value not in RAW and value not in FLOW}
+    found = {f"{value}.{'.'.join(names)}" for kind, value, names in parsed(page) if kind == "open" and value not in CONTENT}
     return token_hash("|".join(sorted(found)))
 
 
@@ -164,6 +182,7 @@ def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, frames, keys, contents, prints, first, texts = [], [], [], [], [], [], []
         for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
+            page = parsed(page)
             counts = Counter(tokens(page))
             kind, content = frame(page), token_hash(extract(page))
             for place, (token, c) in enumerate({"": 1, **counts}.items()):  # '' counts pages
@@ -201,7 +220,7 @@ def _in_one_slot(inner: list[int], outer: list[int]) -> bool:
     return not inner or not any(inner[0] < p < inner[-1] for p in outer)
 
 
-def template_of(page: str, classes: Classes) -> frozenset[int]:
+def template_of(page: str | Events, classes: Classes) -> frozenset[int]:
     """The tokens of the template tree that the classes make on this page."""
     if not classes:
         return frozenset()
@@ -219,13 +238,13 @@ def template_of(page: str, classes: Classes) -> frozenset[int]:
 
 
 class Element:
-    """An element, what of the varying text outside links it holds, and whether it is no part of the article."""
+    """An element, how much varying text outside links it holds, and whether text directly in it is the article's."""
 
-    __slots__ = ("name", "names", "parent", "children", "weight", "around_main", "side")
+    __slots__ = ("name", "names", "parent", "children", "weight", "around_main", "inside", "aside")
 
     def __init__(self, name: str, names: tuple[str, ...], parent: Element | None):
         self.name, self.names, self.parent, self.children = name, names, parent, []
-        self.weight, self.around_main, self.side = 0, False, False
+        self.weight, self.around_main, self.inside, self.aside = 0, False, False, False
         if parent:
             parent.children.append(self)
 
@@ -236,22 +255,21 @@ def is_side_name(name: str) -> bool:
     return any(p in SIDE_NAMES for p in parts) and all(p in SIDE_NAMES or p in PLAIN_NAMES for p in parts)
 
 
-def element_tree(page: str, template: frozenset[int]) -> tuple[Element, list[tuple[Element, str]]]:
+def element_tree(page: str | Events, template: frozenset[int]) -> tuple[Element, list[tuple[Element, str]]]:
     """The root, and the text of the page in order with its elements; block borders are spaces, template runs are gone."""
     root = here = Element("", (), None)
     out: list[tuple[Element, str]] = []
     links = 0
     still_open: Counter[str] = Counter()
-    for kind, value, names in events(page):
+    for kind, text, names in parsed(page):
         if kind == "text":
-            text = html.unescape(value)
-            run = SPACE.sub(" ", text).strip(" ")
-            if run and template and token_hash(f"t:{run}") in template:
-                text = run = " "
+            if template and (run := even(text)) and token_hash(f"t:{run}") in template:
+                text = " "
             out.append((here, text))
             if not links:
-                here.weight += len(run.strip(" "))
+                here.weight += len(text.strip())
             continue
+        value = text
         if value not in INLINE:
             out.append((here, " "))
             links = 0
@@ -276,25 +294,21 @@ def element_tree(page: str, template: frozenset[int]) -> tuple[Element, list[tup
     return root, out
 
 
-def find_main(root: Element) -> list[Element]:
-    """Mark the elements around the main slot; the elements whose text counts (the largest article and its likes, or all)."""
+def judge(root: Element) -> None:
+    """Find the main slot and mark every element: inside an article and its likes (or the root, without any), and aside or not."""
     every, at = [root], 0
     while at < len(every):
         every.extend(every[at].children)
         at += 1
-    for e in every:
-        e.side = bool(e.names) and e.name not in ("", "html", "body") and any(map(is_side_name, e.names)) or e.name in ASIDE
     for e in reversed(every):  # sums from the leaves up
         if e.parent:
             e.parent.weight += e.weight
     mains: list[Element] = []
-    below: set[int] = set()
     for e in every:  # outermost first
-        if e.parent and id(e.parent) in below:
-            below.add(id(e))
-        elif e.name in ("article", "main"):
+        e.inside = bool(e.parent) and e.parent.inside
+        if not e.inside and e.name in ("article", "main"):
             mains.append(e)
-            below.add(id(e))
+            e.inside = True
     start = max(mains, key=lambda e: e.weight, default=root)
     e: Element | None = start
     while e:
@@ -302,35 +316,21 @@ def find_main(root: Element) -> list[Element]:
     e = start
     while e.children and (best := max(e.children, key=lambda c: c.weight)).weight > MAIN_SHARE * e.weight:
         best.around_main, e = True, best
-    return mains or [root]
+    for e in every:
+        above = e.parent
+        e.inside = e.inside or not mains
+        e.aside = bool(above) and above.aside
+        if above and not e.aside and not e.around_main:
+            named = bool(e.names) and e.name not in ("html", "body") and any(map(is_side_name, e.names))
+            own_head = e.name == "header" and e.inside and bool(mains)  # an article's title
+            e.aside = named or (e.name in ASIDE and not own_head)
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> str:
+def extract(page: str | Events, template: frozenset[int] = frozenset()) -> str:
     """The article's text: blocks in page order, joined by one space."""
     root, runs = element_tree(page, template)
-    counted = set(map(id, find_main(root)))
-    taken: dict[int, bool] = {}
-
-    def takes(e: Element) -> bool:
-        """Whether text directly in ``e`` is the article's: in a counted element, and nothing around it is aside."""
-        chain = []
-        while e.parent and id(e) not in taken:
-            chain.append(e)
-            e = e.parent
-        if id(e) not in taken:
-            taken[id(e)] = id(e) in counted  # the root
-            state[id(e)] = (False, id(e) in counted)
-        aside, inside = state[id(e)]
-        for x in reversed(chain):
-            inside = inside or id(x) in counted
-            heading = x.name == "header" and inside and not any(map(is_side_name, x.names))  # an article's own head
-            aside = aside or (x.side and not x.around_main and not heading)
-            state[id(x)] = (aside, inside)
-            taken[id(x)] = inside and not aside
-        return taken[id(chain[0])] if chain else taken[id(e)]
-
-    state: dict[int, tuple[bool, bool]] = {}
-    return SPACE.sub(" ", "".join(text if text == " " or takes(e) else " " for e, text in runs)).strip(" ")
+    judge(root)
+    return SPACE.sub(" ", "".join([text if e.inside and not e.aside else " " for e, text in runs])).strip(" ")
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +338,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         rows = zip(batch["html"].to_pylist(), batch["of_host"].to_pylist(), batch["of_frame"].to_pylist(), strict=True)
         for page, of_host, of_frame in rows:
+            page = parsed(page)
             out.append(extract(page, template_of(page, [(c["n"], tuple(c["members"])) for c in (of_host or []) + (of_frame or [])])))
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
